@@ -11,7 +11,9 @@ template node is told by its constant words (:mod:`furniture`); a node without s
 its leaves have elsewhere. A line is found if it is a template node in the role of furniture.
 
 Scale: pages are grouped by host; a host with many pages is cut into shards of about ``SHARD`` pages by a hash
-of the posting, so that no host is one task. A page is aligned with one neighbour, so the work is linear. Votes leave a shard
+of the posting, so that no host is one task. A page is aligned with its neighbours in three orders by min-hash,
+so the work is linear; hosts with few pages are
+aligned with one another. Votes leave a shard
 as one row per leaf. The template is broadcast if proven small, else joined to the leaves of all lines.
 
 Defined results: null and empty descriptions have no line; a null or blank url is a host of its own; empty
@@ -22,6 +24,7 @@ one page with the same result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,10 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import site_host
-from postloom.llm.furniture import MAX_FURNITURE, Roles, items_of
+from postloom.llm.furniture import ENTRY, MAX_FURNITURE, Roles, items_of
 from postloom.runtime import is_small, materialize, semi_or_salted
 
 SHARD, MIN_VOTES, ROLE_SHARE = 400, 2, 0.9
+#: The orders in which the pages of a shard are laid beside each other: factors of the min-hashes of their nodes.
+ORDERS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
+#: Hosts with fewer pages are aligned with pages of other such hosts.
+FEW = 12
 #: Leaves that a template may have to be shipped to every task.
 SHIPPED_LEAVES = 300_000
 
@@ -62,11 +69,14 @@ def _leaves(line: str) -> tuple[str, ...]:
     s = line.strip()
     if not s:
         return ()
+    caps = s.upper() == s
     entries = items_of(s)
     if len(entries) >= 3 or (len(entries) == 2 and len(s) < 60):
-        return tuple("i:" + _SLOT.sub("0", e.lower()) for e in entries)
+        return tuple("i:" + _SLOT.sub("0", (e if caps else _NAME.sub("N", e)).lower()) for e in entries)
     s = " ".join(s.split())
-    if s.upper() != s:
+    if ":" in s and len(s) < 60 and ENTRY.match(s):
+        return ("w:N: *",)
+    if not caps:
         s = _NAME.sub("N", s)
     w = _SLOT.sub("0", s).lower().split()
     if len(w) <= 3:
@@ -136,15 +146,23 @@ def induce(texts: list[str], lines: Lines) -> list[tuple[str, int, int, int]]:
     votes: Counter[str] = Counter()
     role: Counter[str] = Counter()
     seen: Counter[str] = Counter()
-    for k, (text, p) in enumerate(zip(distinct, pages)):
+    keys: list[list[int]] = []
+    for text, p in zip(distinct, pages):
         split = text.split("\n")
+        told: set[str] = set()
         for i, leaves in p:
             furniture = lines.roles.furniture(split[i - 1])
             for f in leaves:
                 seen[f] += 1
                 role[f] += furniture
-        if k:
-            votes.update(simple_tree_matching(pages[k - 1], p))
+            if furniture:
+                told.update(leaves)
+        codes = [zlib.crc32(f.encode()) for f in told]
+        keys.append([min((c * odd & 0xFFFFFFFF for c in codes), default=0) for odd in ORDERS])
+    for k in range(len(ORDERS)):  # neighbours in an order by min-hash share a node
+        order = sorted(range(len(pages)), key=lambda i: keys[i][k])
+        for x, y in zip(order, order[1:]):
+            votes.update(simple_tree_matching(pages[x], pages[y]))
     return [(f, votes[f], role[f], n) for f, n in seen.items() if votes[f] or role[f]]
 
 
@@ -153,7 +171,10 @@ def hosted(postings: DataFrame, shard: int = SHARD) -> DataFrame:
     docs = postings.select("jobid", "jobdescription", F.coalesce(site_host("companyurl"), F.lit("")).alias("host")).filter("jobdescription <> ''")
     sizes = materialize(docs.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "hosts")
     sized = semi_or_salted(docs, sizes, ["host"], how="inner", salt_by=F.xxhash64("jobid"))
-    return sized.withColumn("shard", F.pmod(F.xxhash64("jobid", F.lit("shard")), F.ceil(F.col("n") / shard))).drop("n")
+    total = max(1, int(sizes.filter(F.col("n") < FEW).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]))
+    small = F.col("n") < FEW
+    parts = F.when(small, F.lit(-(-total // shard))).otherwise(F.ceil(F.col("n") / shard))
+    return sized.select("jobid", "jobdescription", F.when(small, F.lit("*")).otherwise(F.col("host")).alias("host"), F.pmod(F.xxhash64("jobid", F.lit("shard")), parts).alias("shard"))
 
 
 def template(postings: DataFrame, shard: int = SHARD, min_votes: int = MIN_VOTES) -> DataFrame:
