@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 WHITE = r"[\s\p{Z}\x1c-\x1f\x85\x0b]"
 #: The same class for DuckDB (RE2).
 WHITE_RE2 = r"[\s\p{Z}\x1c-\x1f\x{85}\x0b]"
+#: Finds a character that is no white space.
+NOT_BLANK = r"[^\s\p{Z}\x1c-\x1f\x85\x0b]"
 #: A word character in Python's sense.
 WORD = r"[\p{L}\p{N}_]"
 
