@@ -21,7 +21,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions.text import lines, site_host, strip
+from postloom.functions.text import NOT_BLANK, lines, site_host, strip
 from postloom.runtime import is_small, materialize
 
 # Words that fields and fill-in notes of templates are named by (Danish, English, Norwegian, Swedish, German).
@@ -56,8 +56,6 @@ DETECTORS: dict[str, str] = {
     ),
     "error": "|".join(
         [
-            r"(?iu:\b(?:http|status|error|fejl|fehler|fel|feil|kode|code)\b[\s:#/.]*\(?[45]\d\d\b)", r"(?iu:(?:^|\s)[45]\d\d\s*[-–:!.]?\s*(?:not found|bad gateway|forbidden|gone|internal server|service unavailable|siden?\b))",
-            r"(?iu:\((?:kode|fel|feil|fejl|error|code|fehler)?\s*[45]\d\d\)\s*[.!]?\s*(?:$|kontakt))",
             r"(?iu:\b(?:page|address|document|link|site)\b[^\n.]{0,40}\b(?:could not be (?:found|located)|not found|does not exist|no longer exists|was moved|has gone stale|has expired|is unavailable)\b)",
             r"(?iu:\b(?:could not|cannot|can't|unable to) (?:load|fetch|display|open|find) (?:the|this|that) (?:page|vacancy|document|content|address)\b)", r"(?iu:\bsomething went wrong\b|\baccess denied\b|\btoo many requests\b|\binternal server error\b)",
             r"(?iu:\b(?:service|site|page) (?:is )?temporarily (?:unavailable|closed)\b(?:[^\n]{0,6}\bretry\b|[.,!]))", r"(?iu:\bsession has expired\b|\bsecurity check\b[^\n]{0,20}\bcontinue\b|\bverify (?:your browser|you are (?:a )?human)\b|\byou lack permission\b)",
@@ -68,6 +66,12 @@ DETECTORS: dict[str, str] = {
             r"(?iu:\b(?:serveren|databasen)\b[^\n.]{0,12}\bsvare(?:r|de) ikke\b|\bforespørgslen tog for lang tid\b|\bforbindelsen blev afbrudt\b|\bhændelsen er logget\b)",
         ]
     ),
+    "code": "|".join(
+        [
+            r"(?iu:\b(?:http|status|error|fejl|fehler|fel|feil|kode|code)\b[\s:#/.]*\(?[45]\d\d\b)", r"(?iu:(?:^|\s)[45]\d\d\s*[-–:!.]?\s*(?:not found|bad gateway|forbidden|gone|internal server|service unavailable|siden?\b))",
+            r"(?iu:\((?:kode|fel|feil|fejl|error|code|fehler)?\s*[45]\d\d\)\s*[.!]?\s*(?:$|kontakt))",
+        ]
+    ),
     "script": "|".join(
         [
             r"(?iu:\b(?:enable|turn on|switch on|activate|aktiver\w*|aktivér|aktivera|aktivieren sie|slå(?: det)?(?: på| til)?|requires?|kræver|kräver|krever|benötigt|erfordert)\b[^\n.]{0,30}" + SCRIPT + r"[^\n]{0,60}\b(?:to (?:run|see|view|use|continue)|for (?:at|å|att)|um\b|browser|app|side|sidan|page|påslag|anzeige|opslag|stilling))",
@@ -81,15 +85,18 @@ DETECTORS: dict[str, str] = {
 # What a line must hold before a detector is tried on it (a cheap test that no detector can pass without).
 GATES: dict[str, str | list[str]] = {
     "placeholder": r"[{}\[«<$#_@%&]|[Xx]{4}|NaN|null|undefined|\.not\.found|msg\.key",
-    "filler": ["ipsum", "dolor", "consectet", "eiusmod", "anim", "vivamus", "curabitur", "nonummy", "sint", "asdf", "qwerty", "jklø", "hjkl", "tekst", "text", "copy", "delete", "remove", "slet", "radera", "löschen",
-               "her k", "her s", "här ", "hier ", "write something", "skriv noget", "ersetzen", "overskrift"],
-    "error": ["http", "status", "error", "fejl", "fehler", "fel", "feil", "kode", "code", "(4", "(5", "found", "gateway", "forbidden", "gone", "unavailable", "temporarily", "- side", "located", "exist", "moved", "stale", "expired", "could not",
-              "cannot", "can't", "unable", "went wrong", "denied", "requests", "server", "session", "security check", "verify", "permission", "database", "connection was", "request ", "logged as", "findes ikke", "forældet", "flyttet",
-              "slettet", "lukket", "galt", "gick ", "uventet", "unerwartet", "oväntat", "nægtet", "robot", "nekad", "verweigert", "nektet", "finde det", "fant ikke", "kunne ikke", "kunde inte", "nicht gefunden", "rettigheder", "svare",
-              "lang tid", "afbrudt", "logget"],
-    "script": ["script", "js", "skript", "scripting", "blocker", "loading", "henter", "indlæser", "laddar", "laster", "geladen"],
+    "filler": ["ipsum", "dolor s", "consectet", "eiusmod", "mollit", "vivamus", "curabitur", "nonummy", "excepteur", "asdf", "qwerty", "jklø", "hjkl", "dummy", "sample t", "sample c", "placeholder t", "placeholder c", "filler", "eksempelt",
+               "eksempel t", "platshållar", "beispielt", "blindt", "brødt", "tekst m", "text m", "text s", "text f", "tekst f", "tekst k", "text k", "text g", "copy g", "delete ", "remove ", "slet ", "slettes ", "raderas ", "löschen ",
+               "her kommer", "her skal", "her kan", "här ska", "här kommer", "hier kommt", "hier steht", "hier folgt", "write something", "skriv noget", "bitte ersetzen", "overskrift "],
+    "error": ["not found", "be found", "located", "not exist", "longer exists", "was moved", "gone stale", "has expired", "unavailable", "temporarily", "could not", "cannot ", "can't ", "unable to", "went wrong", "access denied",
+              "many requests", "internal server", "session has", "security check", "verify ", "lack permission", "not answer", "not respond", "connection was", "request t", "request was", "logged as", "ikke fundet", "findes ikke",
+              "forældet", "er flyttet", "er slettet", "midlertidigt lukket", "kunne ikke", "gik galt", "gikk galt", "gick snett", "gick fel", "uventet fe", "unerwarteter", "oväntat", "adgang nægtet", "er udløbet", "robot", "nekad",
+              "verweigert", "nektet", "du leder efter", "fant ikke", "kunde inte", "nicht gefunden", "rettigheder til", "svarer ikke", "svarede ikke", "lang tid", "blev afbrudt", "er logget"],
+    "code": r"(?<!\d)[45]\d\d(?!\d)",
+    "script": ["script", "js ", "skript", "blocker", "loading", "henter", "indlæser", "laddar", "laster", "geladen"],
 }
-REPEATED = r"(?iu:(?<![\p{L}])([\p{L}]{2,12})(?:\s+\1){2,}(?![\p{L}]))"
+#: The same word three times in a row, in lower-case text.
+REPEATED = r"(?<![\p{L}])([\p{L}]{2,12}+)\s+\1\s+\1(?![\p{L}])"
 
 # Words that messages are made of, and words that adverts cannot do without.
 MESSAGE = "fejl fejlen error fehler fel feil side siden sidan page seite link linket adresse adressen address server serveren browser browseren session opdater refresh reload prøv igen again retry beklager sorry ups oops whoops hmm support administrator kontakt forsiden logget logged loading henter indlæser javascript script scripts tekst text placeholder".split()
@@ -105,25 +112,19 @@ def terms(c: Column) -> Column:
 
 def detected(name: str) -> Column:
     """Whether a line of the description passes the detector's gate and then the detector. The gate is first
-    tried on the whole text, so that most texts are never split."""
+    tried on the whole text, so that most texts are never split. ``_lower`` is the description in lower case, made once."""
     gate, pattern = GATES[name], DETECTORS[name]
-
-    def passes(c: Column) -> Column:
-        if isinstance(gate, str):
-            return c.rlike(gate)
-        return reduce(or_, (F.contains(F.lower(c), F.lit(w)) for w in gate))
-
-    whole = F.col("jobdescription") if isinstance(gate, str) else F.col("_lower")
-    any_gate = passes(whole) if isinstance(gate, str) else reduce(or_, (F.contains(whole, F.lit(w)) for w in gate))
-    line = F.exists(lines("jobdescription"), lambda x: passes(x) & x.rlike(pattern))
-    return any_gate & line
+    if isinstance(gate, str):
+        return F.col("jobdescription").rlike(gate) & F.exists(lines("jobdescription"), lambda x: x.rlike(gate) & x.rlike(pattern))
+    any_of = lambda c: reduce(or_, (F.contains(c, F.lit(w)) for w in gate))
+    return any_of(F.col("_lower")) & F.exists(lines("_lower"), lambda x: any_of(x) & x.rlike(pattern))
 
 
 def flagged(postings: DataFrame) -> DataFrame:
     """One row per posting with a description that is not blank: the detectors' flags and the row-local evidence."""
-    text = postings.select("jobid", "jobtitle", "joburl", "jobdescription", site_host("companyurl").alias("site"), F.lower("jobdescription").alias("_lower")).filter(strip("jobdescription") != "")
+    text = postings.select("jobid", "jobtitle", "joburl", "jobdescription", site_host("companyurl").alias("site"), F.lower("jobdescription").alias("_lower")).filter(F.col("jobdescription").rlike(NOT_BLANK))
     flags = [detected(name).alias(name) for name in DETECTORS]
-    flags[1] = (detected("filler") | (F.col("jobdescription").rlike(REPEATED))).alias("filler")
+    flags[1] = (detected("filler") | (F.col("_lower").rlike(REPEATED))).alias("filler")
     words = terms(F.when(F.length("jobdescription") <= LOW_CHARS, F.col("jobdescription")))
     slug = F.regexp_replace(F.regexp_extract(F.coalesce("joburl", F.lit("")), r"([^/?#]*)(?:[?#].*)?$", 1), r"[-_]", " ")
     told = F.array_union(terms(F.col("jobtitle")), terms(slug))
@@ -146,4 +147,4 @@ def evidence(postings: DataFrame) -> DataFrame:
     counted = materialize(anywhere.join(at_host, "body"), "bodies")
     told = text.join(F.broadcast(counted) if is_small(counted) else counted, "body", "left").fillna(0, ["titles", "host_titles"])
     unknown = F.col("low") & F.col("mismatch") & F.col("message") & ((F.col("titles") >= MIN_TITLES) | (F.col("host_titles") >= 2))
-    return told.withColumn("unknown_message", unknown).withColumn("residue", F.col("placeholder") | F.col("filler") | F.col("error") | F.col("script") | unknown)
+    return told.withColumn("unknown_message", unknown).withColumn("residue", F.col("placeholder") | F.col("filler") | F.col("error") | F.col("code") | F.col("script") | unknown)
