@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions.text import WHITE_RE2
-from postloom.llm import abuse, leaks, repeated_lines, residue, wrapper
+from postloom.llm import abuse, language, leaks, packing, repeated_lines, residue, wrapper
 from postloom.runtime import materialize, table
 
 POSTINGS = "jobindexpostingsextended"
@@ -39,6 +39,24 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.without_lines(postings, repeated_lines.found_lines(postings, repeated_lines.repeated_lines(postings)))
 
 
+def _stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_stretches(table(spark, sf_dir, POSTINGS), table(spark, sf_dir, "postinglang"), table(spark, sf_dir, "documents"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.contradicted(language.per_language(_stretches(spark, sf_dir)), table(spark, sf_dir, "postinglang"))
+
+
+def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters of running text and confidence per language of every description."""
+    return language.per_language(_stretches(spark, sf_dir))
+
+
+def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of every description with its language and confidence."""
+    return _stretches(spark, sf_dir).select("jobid", F.explode("stretches").alias("s")).select("jobid", "s.start", "s.end", "s.lang", "s.confidence")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.furniture_lines(table(spark, sf_dir, POSTINGS))
 
@@ -49,6 +67,22 @@ def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.without_lines(postings, wrapper.furniture_lines(postings))
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its container."""
+    return packing.assign(packing.token_counts(table(spark, sf_dir, "documents")))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the containers are filled, against the lower bound of their number."""
+    placed = packing.assign(packing.token_counts(table(spark, sf_dir, "documents"))).filter("container is not null")
+    bins = placed.groupBy("container").agg(F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("pieces"))
+    total = F.coalesce(F.sum("used"), F.lit(0))
+    return bins.agg(
+        F.count(F.lit(1)).alias("n_containers"), F.ceil(total / packing.CAPACITY).alias("least_containers"), total.alias("n_tokens"), F.coalesce(F.sum("pieces"), F.lit(0)).alias("n_pieces"),
+        F.coalesce(F.max("used"), F.lit(0)).alias("fullest"),
+    )
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evalitems")).select("item_id", "doc_id").distinct()
 
@@ -92,8 +126,8 @@ f AS (SELECT DISTINCT jobid, line_no FROM k JOIN r ON k.site = r.site AND k.key
 """.replace("W+", WHITE_RE2 + "+")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_evidence": p1_evidence, "p3_found": p3_found, "p3_lines": p3_lines, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean,
-    "p9_found": p9_found, "p9_items": p9_items, "p9_clean": p9_clean, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates,
+    "p1_found": p1_found, "p1_evidence": p1_evidence, "p3_found": p3_found, "p3_lines": p3_lines, "p3_clean": p3_clean, "p5_found": p5_found, "p5_languages": p5_languages, "p5_stretches": p5_stretches, "p6_found": p6_found, "p6_clean": p6_clean,
+    "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_items": p9_items, "p9_clean": p9_clean, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates,
 }
 
 SQL: dict[str, str] = {
