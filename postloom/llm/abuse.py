@@ -19,6 +19,7 @@ own in the rates; an empty corpus gives no rows.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import unicodedata
@@ -46,6 +47,8 @@ _TOKEN = re.compile(r"[^\W_]+(?:[*@$€#%][^\W_]*|[’'][^\W_]+)*")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][\s.\-_*]){3,}[^\W\d_](?!\w)")
 _RUN = re.compile(r"(.)\1+")
 _MOJIBAKE = re.compile("[ÂÃ][\u0080-¿]")
+#: Letters that need no normalisation.
+_PLAIN = re.compile(r"[\x00-\x7fæøåäöüßéèÆØÅÄÖÜÉ§°»«–”“’]*")
 _LEETISH = re.compile(r"[^\W\d_]+[0-9@$€]|[0-9@$€][^\W\d_]")
 
 
@@ -53,36 +56,55 @@ def sentences(text: str) -> list[str]:
     return [s for s in (x.strip() for x in _SPLIT.split(text)) if s]
 
 
+def _word(w: str) -> tuple[str, ...]:
+    """What one lower-case word stands for: itself with runs of a letter as one, digits and signs read as letters."""
+    if w.isdigit():
+        return ("0",)
+    if w.isalpha():
+        return (_RUN.sub(r"\1", w),)
+    if "*" in w or "#" in w or "%" in w:
+        return ("<masked>", _RUN.sub(r"\1", re.sub(r"[*#%]+", "*", w)))
+    if _LEETISH.search(w):
+        out = ["<leet>"]
+        if "1" in w:
+            out.append(_RUN.sub(r"\1", w.replace("1", "l").translate(_LEET)))
+        return (*out, _RUN.sub(r"\1", w.translate(_LEET)))
+    return (_RUN.sub(r"\1", w),)
+
+
+_WORDS: dict[str, tuple[str, ...]] = {}
+
+
 def tokens(sentence: str) -> list[str]:
-    """Words of a sentence with disguise undone; runs of one letter count once; numbers are ``0``."""
+    """Words of a sentence with disguise undone; runs of one letter count once; numbers are ``0``. Words that were
+    seen are remembered (bounded)."""
     s = sentence
     if not s.isascii():
         if "Ã" in s or "Â" in s:
             s = _MOJIBAKE.sub(lambda m: m.group().encode("latin-1").decode("utf-8", "replace"), s)
-        s = unicodedata.normalize("NFKC", s)
-        s = "".join(c for c in s if unicodedata.category(c) != "Cf").translate(_ALIKE)
+        if not _PLAIN.fullmatch(s):
+            s = unicodedata.normalize("NFKC", s)
+            s = "".join(c for c in s if unicodedata.category(c) != "Cf").translate(_ALIKE)
     s = _SPACED.sub(lambda m: re.sub(r"[\s.\-_*]", "", m.group()), s.lower())
-    out = []
+    known = _WORDS
+    if len(known) > 300_000:
+        known.clear()
+    out: list[str] = []
     for w in _TOKEN.findall(s):
-        if w.isdigit():
-            out.append("0")
-            continue
-        if "*" in w or "#" in w or "%" in w:
-            out += ["<masked>"]
-            w = re.sub(r"[*#%]+", "*", w)
-        elif _LEETISH.search(w):
-            v = w.translate(_LEET)
-            out += ["<leet>"]
-            if "1" in w:
-                out.append(_RUN.sub(r"\1", w.replace("1", "l").translate(_LEET)))
-            w = v
-        out.append(_RUN.sub(r"\1", w))
+        t = known.get(w)
+        if t is None:
+            t = known[w] = _word(w)
+        out += t
     return out
 
 
-def features(sentence: str) -> list[str]:
+Feature = str | tuple[str, ...]
+
+
+def features(sentence: str) -> list[Feature]:
+    """The different words, pairs and triples of words of a sentence."""
     t = tokens(sentence)
-    return list({*t, *(f"{a} {b}" for a, b in zip(t, t[1:])), *(f"{a} {b} {c}" for a, b, c in zip(t, t[1:], t[2:]))})
+    return [*set(t), *set(zip(t, t[1:])), *set(zip(t, t[1:], t[2:]))]
 
 
 def labelled(rng: random.Random, copies: int = 6) -> list[tuple[list[str], int]]:
@@ -118,10 +140,10 @@ def labelled(rng: random.Random, copies: int = 6) -> list[tuple[list[str], int]]
     return bags
 
 
-def train(bags: list[tuple[list[list[str]], int]], epochs: int = 30, rate: float = 0.5, decay: float = 2e-5, prior: float = -5.0) -> tuple[dict[str, float], float]:
+def train(bags: list[tuple[list[list[Feature]], int]], epochs: int = 30, rate: float = 0.5, decay: float = 2e-5, prior: float = -5.0) -> tuple[dict[Feature, float], float]:
     """Weights and bias of the sentence model from bags of feature lists, by Adagrad on the noisy-or likelihood."""
     seen = Counter(f for bag, _ in bags for s in bag for f in s)
-    index = {f: k for k, f in enumerate(sorted(seen))}
+    index = {f: k for k, f in enumerate(sorted(seen, key=str))}
     flat: list[int] = []
     sent_len: list[int] = []
     bag_len: list[int] = []
@@ -156,7 +178,7 @@ def train(bags: list[tuple[list[list[str]], int]], epochs: int = 30, rate: float
 
 
 class Scorer:
-    def __init__(self, weights: dict[str, float], bias: float):
+    def __init__(self, weights: dict[Feature, float], bias: float):
         self.weights, self.bias = weights, bias
 
     def sentence(self, s: str) -> float:
@@ -164,8 +186,8 @@ class Scorer:
         if not f:
             return 0.0
         get = self.weights.get
-        z = self.bias + sum(get(x, 0.0) for x in f) / max(len(f), SHORTEST) ** 0.5
-        return 1 / (1 + np.exp(-z)) if z > -30 else 0.0
+        z = self.bias + sum([get(x, 0.0) for x in f]) / max(len(f), SHORTEST) ** 0.5
+        return 1 / (1 + math.exp(-z)) if z > -30 else 0.0
 
     def document(self, text: str | None) -> tuple[float, float, list[str]]:
         """(noisy-or, highest sentence, offending sentences)."""
