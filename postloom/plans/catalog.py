@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postloom.plans import problems
+from postloom.plans import problems, reference
 
-QUERIES = dict(problems.QUERIES)
-SQL = dict(problems.SQL)
+QUERIES = reference.QUERIES | problems.QUERIES
+SQL = reference.SQL | problems.SQL
