@@ -109,7 +109,7 @@ def yake_scores(texts: DataFrame, posting: str, text: str, stops: DataFrame) ->
     acronym = F.col("word").rlike(r"^\p{Lu}{2,}$")
     stats = words.groupBy(posting, "term").agg(
         F.count(F.lit(1)).alias("tf"), F.sum(upper.cast("int")).alias("tf_upper"), F.sum(acronym.cast("int")).alias("tf_acronym"), F.median("sentence").alias("mid"), F.count_distinct("sentence").alias("sf"),
-        F.count_distinct("left").alias("dl"), F.count("left").alias("nl"), F.count_distinct("right").alias("dr"), F.count("right").alias("nr"), F.min(F.struct("sentence", "at", "word")).alias("first"),
+        F.count_distinct("left").alias("dl"), F.count("left").alias("nl"), F.count_distinct("right").alias("dr"), F.count("right").alias("nr"), F.min(F.struct("sentence", "at", "word")).alias("first"), F.max("sentence").alias("ls"),
     )
     stats = stats.join(_stops(stops).withColumn("stop", F.lit(True)), F.col("term") == F.col("_stop"), "left").drop("_stop")
     good = F.col("stop").isNull() & (F.length("term") > 1) & ~F.col("term").rlike(r"^[\p{N}_\-]+$")
@@ -117,16 +117,15 @@ def yake_scores(texts: DataFrame, posting: str, text: str, stops: DataFrame) ->
     stats = stats.withColumn("good", good).withColumns(
         {
             "mean_tf": F.avg(F.when(F.col("good"), F.col("tf"))).over(of), "sd_tf": F.coalesce(F.stddev_pop(F.when(F.col("good"), F.col("tf"))).over(of), F.lit(0.0)), "max_tf": F.max("tf").over(of),
-            "n_sents": F.max(F.col("first.sentence")).over(of) + 1,
+            "n_sents": F.max("ls").over(of) + 1,
         }
     )
-    n_sents = F.greatest(F.max("n_sents").over(of), F.max(F.col("mid")).over(of) + 1)
     case = F.greatest("tf_upper", "tf_acronym") / (1 + F.log("tf"))
     pos = F.log(F.log(3 + F.col("mid")))
     norm = F.col("tf") / (F.col("mean_tf") + F.col("sd_tf"))
     share = F.when(F.col("nl") > 0, F.col("dl") / F.col("nl")).otherwise(0.0) + F.when(F.col("nr") > 0, F.col("dr") / F.col("nr")).otherwise(0.0)
     rel = 1 + share * F.col("tf") / F.col("max_tf")
-    spread = F.col("sf") / n_sents
+    spread = F.col("sf") / F.col("n_sents")
     s = rel * pos / (case + norm / rel + spread / rel)
     scored = stats.withColumn("s", s).filter("good")
     return scored.select(posting, "term", F.col("first.word").alias("keyword"), (F.col("first.sentence") * 100_000 + F.col("first.at")).cast("bigint").alias("first_at"), (F.col("s") / (F.col("tf") * (1 + F.col("s")))).alias("score"))

@@ -321,9 +321,9 @@ w0 AS (SELECT jobid, sentence, regexp_extract_all(txt, '{TOKEN_RE}') AS ws FROM
 w AS (SELECT jobid, sentence, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w0),
 n AS (SELECT *, lower(word) AS term, lag(lower(word)) OVER o AS l, lead(lower(word)) OVER o AS r FROM w WINDOW o AS (PARTITION BY jobid, sentence ORDER BY pos)),
 a AS (SELECT jobid, term, count(*) AS tf, sum(CASE WHEN regexp_matches(word, '^\\p{{Lu}}') AND pos > 0 THEN 1 ELSE 0 END) AS up, sum(CASE WHEN regexp_matches(word, '^\\p{{Lu}}{{2,}}$') THEN 1 ELSE 0 END) AS ac,
-  median(sentence) AS mid, count(DISTINCT sentence) AS sf, count(DISTINCT l) AS dl, count(l) AS nl, count(DISTINCT r) AS dr, count(r) AS nr, min(sentence) AS fs FROM n GROUP BY jobid, term),
+  median(sentence) AS mid, count(DISTINCT sentence) AS sf, count(DISTINCT l) AS dl, count(l) AS nl, count(DISTINCT r) AS dr, count(r) AS nr, max(sentence) AS ls FROM n GROUP BY jobid, term),
 g AS (SELECT *, term NOT IN (SELECT w FROM st) AND length(term) > 1 AND NOT regexp_matches(term, '^[\\p{{N}}_\\-]+$') AS good FROM a),
-h AS (SELECT *, avg(CASE WHEN good THEN tf END) OVER p AS mean_tf, coalesce(stddev_pop(CASE WHEN good THEN tf END) OVER p, 0) AS sd_tf, max(tf) OVER p AS max_tf, greatest(max(fs + 1) OVER p, max(mid) OVER p + 1) AS ns FROM g WINDOW p AS (PARTITION BY jobid)),
+h AS (SELECT *, avg(CASE WHEN good THEN tf END) OVER p AS mean_tf, coalesce(stddev_pop(CASE WHEN good THEN tf END) OVER p, 0) AS sd_tf, max(tf) OVER p AS max_tf, max(ls) OVER p + 1 AS ns FROM g WINDOW p AS (PARTITION BY jobid)),
 k AS (SELECT *, 1 + (CASE WHEN nl > 0 THEN dl / nl ELSE 0 END + CASE WHEN nr > 0 THEN dr / nr ELSE 0 END) * tf / max_tf AS rel FROM h WHERE good),
 z AS (SELECT *, rel * ln(ln(3 + mid)) / (greatest(up, ac) / (1 + ln(tf)) + tf / (mean_tf + sd_tf) / rel + sf / ns / rel) AS s FROM k),
 y AS (SELECT jobid, term, s / (tf * (1 + s)) AS score FROM z)
