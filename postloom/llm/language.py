@@ -25,7 +25,7 @@ from operator import or_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.functions.text import lines
@@ -39,23 +39,25 @@ PER_LANGUAGE, PER_LABEL, MAX_CHARS, EPOCHS, SEED = 300, 250, 4000, 6, 11
 SWITCH = 3.0
 MIN_RUNNING = 120
 
-_SENTENCE = re.compile(r"[^.!?]+(?:[.!?](?!\s|$)[^.!?]*)*[.!?]*\s*")
+_STOP = re.compile(r"[.!?]+[\"»”)]*\s+")
+# Abbreviations whose stop ends no sentence.
+_SHORT = set("nr no kl pr ca bl tlf tel str co dvs osv inkl evt f.eks bl.a z.b d.h ref fig mr mrs dr".split())
 _NAME, _NUMBER = re.compile(r"(?<= )[A-ZÆØÅÄÖÜ][^\W\d]+"), re.compile(r"\d[\d.,:/\-]*")
-_ABBREVIATED = re.compile(r"(?:^|\s)(?:\w|nr|no|kl|[Cc]o|pr|ca|bl|tlf|Tlf|Tel|Str|f\.eks|dvs|osv|inkl|evt)\.\s*$")
 
 
 def sentences(line: str) -> list[tuple[int, str]]:
-    """(offset, sentence) of a line; a stop after an initial, an abbreviation or a number is no end."""
+    """(offset, sentence) of a line; a stop after an initial, an abbreviation or a short number is no end."""
     out: list[tuple[int, str]] = []
-    start, held = 0, ""
-    for m in _SENTENCE.finditer(line):
-        held += m.group()
-        if _ABBREVIATED.search(held) or (re.search(r"\d\.\s*$", held) and len(held) < 25):
-            continue
-        out.append((start, held))
-        start, held = m.end(), ""
-    if held:
-        out.append((start, held))
+    start = 0
+    for m in _STOP.finditer(line):
+        if line[m.start()] == ".":
+            word = line[start : m.start()].rsplit(None, 1)[-1:]
+            if word and (len(word[0]) == 1 or word[0].lower() in _SHORT or (word[0].isdigit() and m.start() - start < 25)):
+                continue
+        out.append((start, line[start : m.end()]))
+        start = m.end()
+    if start < len(line):
+        out.append((start, line[start:]))
     return out
 
 
@@ -184,23 +186,26 @@ def train(texts: list[tuple[str, str]]) -> ByteCNN:
     return model
 
 
+def _picked(rows: DataFrame, key: str, lang: str, k: int) -> DataFrame:
+    """(key, lang) of at most ``k`` rows of each language, the lowest by a hash of the key; only keys are shuffled, and each
+    task keeps ``k`` of a language."""
+    order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
+    return rows.filter(F.col(lang).isin(*LANGUAGES)).select(key, lang).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).select(key, lang)
+
+
 def labelled(documents: DataFrame) -> list[tuple[str, str]]:
-    """At most ``PER_LANGUAGE`` texts of each language, each at most ``MAX_CHARS`` long, the lowest by a hash of the id."""
-    out = []
-    for lang in LANGUAGES:
-        rows = documents.filter((F.col("lang") == lang) & F.length("text").between(40, MAX_CHARS)).select("text", F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(PER_LANGUAGE).collect()
-        out += [(lang, r[0]) for r in rows]
-    return out
+    """At most ``PER_LANGUAGE`` texts of each language, each at most ``MAX_CHARS`` long."""
+    ids = _picked(documents.filter(F.length("text").between(40, MAX_CHARS)), "doc_id", "lang", PER_LANGUAGE)
+    rows = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "lang", "text").collect()  # at most PER_LANGUAGE x 5 ids
+    return [(r[1], r[2]) for r in sorted(rows)]
 
 
 def labelled_postings(postings: DataFrame, labels: DataFrame) -> list[tuple[str, str]]:
-    """At most ``PER_LABEL`` descriptions of each label, the lowest by a hash of the id. The labels are often wrong
-    and only pick the sample; see :func:`fit`."""
-    told = postings.filter(F.length("jobdescription").between(200, MAX_CHARS)).select("jobid", "jobdescription", F.xxhash64("jobid").alias("h")).join(labels.select("jobid", label("langlabel").alias("told")), "jobid")
-    out = []
-    for lang in LANGUAGES:
-        out += [(lang, r[0]) for r in told.filter(F.col("told") == lang).select("jobdescription", "h").orderBy("h", "jobdescription").limit(PER_LABEL).collect()]
-    return out
+    """At most ``PER_LABEL`` descriptions of each label. The labels are often wrong and only pick the sample; see :func:`fit`."""
+    ids = _picked(labels.select("jobid", label("langlabel").alias("told")), "jobid", "told", PER_LABEL)
+    texts = postings.filter(F.length("jobdescription").between(200, MAX_CHARS)).select("jobid", "jobdescription")
+    rows = texts.join(F.broadcast(ids), "jobid").select("jobid", "told", "jobdescription").collect()  # at most PER_LABEL x 5 ids
+    return [(r[1], r[2]) for r in sorted(rows)]
 
 
 def fit(documents: list[tuple[str, str]], postings: list[tuple[str, str]]) -> ByteCNN:
