@@ -20,17 +20,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.functions.text import lines
 from postloom.llm.furniture import Roles
-from postloom.llm.residue import DETECTORS, GATES
+from postloom.llm.residue import ResidueLines
 
 LANGUAGES = ("da", "en", "sv", "nb", "de")
 WINDOW, WIDTHS, FILTERS, EMBED = 64, (2, 4, 6), 20, 8
@@ -226,7 +223,7 @@ def fit(documents: list[tuple[str, str]], postings: list[tuple[str, str]]) -> By
 
 class Identifier:
     def __init__(self, model: ByteCNN, limit: int = 200_000):
-        self.model, self.known, self.limit, self.roles = model, {}, limit, Roles()
+        self.model, self.known, self.limit, self.roles, self.residue = model, {}, limit, Roles(), ResidueLines()
 
     def learn(self, texts: list[str]) -> None:
         """Log-probabilities of all new sentences of a batch in one pass."""
@@ -252,7 +249,7 @@ class Identifier:
         at = 0
         for line in text.split("\n"):
             bare = line.strip()
-            if len(bare) >= 12:
+            if len(bare) >= 12 and not self.residue(line):
                 running = len(bare) >= 40 and bare[-1] in ".!?:;…\"»" and bare[0] not in "-•*·–" and not self.roles.furniture(line)
                 for start, s in sentences(line):
                     if len(s) >= 12 and any(c.isalpha() for c in s):
@@ -299,25 +296,11 @@ class Identifier:
 STRETCHES = "jobid bigint, stretches array<struct<start:int,end:int,lang:string,confidence:double,running:int>>"
 
 
-def advert_text() -> Column:
-    """The description without lines that are error messages, script notices or filler."""
-
-    def passes(name: str, c: Column) -> Column:
-        gate = GATES[name]
-        return c.rlike(gate) if isinstance(gate, str) else reduce(or_, (F.contains(c, F.lit(w)) for w in gate))
-
-    kinds = ("error", "code", "script", "filler")
-    text, low = F.col("jobdescription"), F.col("_lower")
-    known = lambda x: reduce(or_, (passes(k, x) & x.rlike(DETECTORS[k]) for k in kinds))
-    kept = F.filter(lines(text), lambda x: ~known(F.lower(x)))
-    return F.when(reduce(or_, (passes(k, low) for k in kinds)) & F.exists(lines(low), known), F.array_join(kept, "\n")).otherwise(text)
-
-
 def language_stretches(postings: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
     """(jobid, stretches) of every description that is neither null nor empty."""
     model = fit(labelled(documents), labelled_postings(postings, labels))
     shipped = postings.sparkSession.sparkContext.broadcast(model.p)
-    texts = postings.filter("jobdescription <> ''").select("jobid", "jobdescription", F.lower("jobdescription").alias("_lower")).select("jobid", advert_text().alias("text"))
+    texts = postings.filter("jobdescription <> ''").select("jobid", F.col("jobdescription").alias("text"))
 
     def identify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         who = Identifier(ByteCNN(shipped.value))

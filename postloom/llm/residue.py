@@ -120,6 +120,29 @@ def detected(name: str) -> Column:
     return any_of(F.col("_lower")) & F.exists(lines("_lower"), lambda x: any_of(x) & x.rlike(pattern))
 
 
+class ResidueLines:
+    """Python twin of the detectors for single lines, for operators that read lines in Python anyway; remembers lines (bounded)."""
+
+    def __init__(self, kinds: tuple[str, ...] = ("filler", "error", "code", "script"), limit: int = 200_000):
+        import regex
+
+        self.gates = [(w, k) for k in kinds if not isinstance(GATES[k], str) for w in GATES[k]]
+        self.open = [(regex.compile(GATES[k]), k) for k in kinds if isinstance(GATES[k], str)]
+        self.patterns = {k: regex.compile("(?m)" + DETECTORS[k]) for k in kinds}
+        self.known: dict[str, bool] = {}
+        self.limit = limit
+
+    def __call__(self, line: str) -> bool:
+        out = self.known.get(line)
+        if out is None:
+            if len(self.known) > self.limit:
+                self.known.clear()
+            low = line.lower()
+            kinds = {k for w, k in self.gates if w in low} | {k for p, k in self.open if p.search(low)}
+            out = self.known[line] = any(self.patterns[k].search(low) for k in kinds)
+        return out
+
+
 def flagged(postings: DataFrame) -> DataFrame:
     """One row per posting with a description that is not blank: the detectors' flags and the row-local evidence."""
     text = postings.select("jobid", "jobtitle", "joburl", "jobdescription", site_host("companyurl").alias("site"), F.lower("jobdescription").alias("_lower")).filter(F.col("jobdescription").rlike(NOT_BLANK))
