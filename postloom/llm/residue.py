@@ -129,6 +129,7 @@ class ResidueLines:
         self.gates = [(w, k) for k in kinds if not isinstance(GATES[k], str) for w in GATES[k]]
         self.open = [(regex.compile(GATES[k]), k) for k in kinds if isinstance(GATES[k], str)]
         self.patterns = {k: regex.compile("(?m)" + DETECTORS[k]) for k in kinds}
+        self.repeated = regex.compile(REPEATED) if "filler" in kinds else None
         self.known: dict[str, bool] = {}
         self.limit = limit
 
@@ -139,7 +140,7 @@ class ResidueLines:
                 self.known.clear()
             low = line.lower()
             kinds = {k for w, k in self.gates if w in low} | {k for p, k in self.open if p.search(low)}
-            out = self.known[line] = any(self.patterns[k].search(low) for k in kinds)
+            out = self.known[line] = any(self.patterns[k].search(low) for k in kinds) or (self.repeated is not None and self.repeated.search(low) is not None)
         return out
 
 
