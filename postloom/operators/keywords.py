@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.functions.text import WORD, col, strip
-from postloom.runtime import is_small
+from postloom.runtime import is_small, materialize
 
 TOP = 20
 # Names of the sources.
@@ -93,59 +93,65 @@ TOKEN = r"[\p{L}\p{N}_]+(?:[-'’][\p{L}\p{N}_]+)*"
 
 
 def tokens(texts: DataFrame, posting: str, text: str) -> DataFrame:
-    """(posting, sentence, at, word) of every word; sentences end at . ! ? and new lines."""
-    sents = texts.select(posting, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(r"[^.!?\n]+"), F.lit(0))).alias("sentence", "_s"))
-    return sents.select(posting, "sentence", F.posexplode(F.regexp_extract_all("_s", F.lit(TOKEN), F.lit(0))).alias("at", "word"))
+    """(posting, sentence, at, word, left, right) of every word with its lower-case neighbours; sentences end at . ! ? and new
+    lines. The texts are shuffled once by posting; everything that is computed by posting afterwards stays where it is."""
+    sents = texts.select(posting, F.col(text).alias("_t")).repartition(posting).select(posting, F.posexplode(F.regexp_extract_all("_t", F.lit(r"[^.!?\n]+"), F.lit(0))).alias("sentence", "_s"))
+    words = sents.select(posting, "sentence", F.regexp_extract_all("_s", F.lit(TOKEN), F.lit(0)).alias("_w"))
+    near = F.transform("_w", lambda w, i: F.struct(w.alias("word"), F.lower(F.get("_w", i - 1)).alias("left"), F.lower(F.get("_w", i + 1)).alias("right")))
+    return words.select(posting, "sentence", F.posexplode(near).alias("at", "_n")).select(posting, "sentence", "at", "_n.word", "_n.left", "_n.right")
 
 
-def yake_scores(texts: DataFrame, posting: str, text: str, stops: DataFrame) -> DataFrame:
-    """K2: (posting, term, keyword, first_at, score) of one-word candidates after Campos et al. (2020): casing, position, frequency,
-    relatedness and spread over sentences; lower is better. Stop words, numbers and one-letter words are no candidates. Follows the
-    paper, not the library's digits."""
+def yake_scores(texts: DataFrame, posting: str, text: str, stops: dict[str, DataFrame]) -> DataFrame:
+    """K2: (posting, source, term, keyword, first_at, score) of one-word candidates after Campos et al. (2020): casing, position,
+    frequency, relatedness and spread over sentences; lower is better. ``stops``: the stop list of each source. Stop words,
+    numbers and one-letter words are no candidates. Follows the paper, not the library's digits.
+
+    All sources share one pass: a text's words meet in one aggregation per term (the sets of neighbours are bounded by the text)
+    and one window by posting, without a further shuffle."""
     words = tokens(texts, posting, text).withColumn("term", F.lower("word"))
-    near = Window.partitionBy(posting, "sentence").orderBy("at")
-    words = words.withColumn("left", F.lag("term").over(near)).withColumn("right", F.lead("term").over(near))
     upper = F.col("word").rlike(r"^\p{Lu}") & (F.col("at") > 0)
     acronym = F.col("word").rlike(r"^\p{Lu}{2,}$")
     stats = words.groupBy(posting, "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.sum(upper.cast("int")).alias("tf_upper"), F.sum(acronym.cast("int")).alias("tf_acronym"), F.median("sentence").alias("mid"), F.count_distinct("sentence").alias("sf"),
-        F.count_distinct("left").alias("dl"), F.count("left").alias("nl"), F.count_distinct("right").alias("dr"), F.count("right").alias("nr"), F.min(F.struct("sentence", "at", "word")).alias("first"), F.max("sentence").alias("ls"),
+        F.count(F.lit(1)).alias("tf"), F.sum(upper.cast("int")).alias("tf_upper"), F.sum(acronym.cast("int")).alias("tf_acronym"), F.median("sentence").alias("mid"), F.size(F.collect_set("sentence")).alias("sf"),
+        F.size(F.collect_set("left")).alias("dl"), F.count("left").alias("nl"), F.size(F.collect_set("right")).alias("dr"), F.count("right").alias("nr"), F.min(F.struct("sentence", "at", "word")).alias("first"),
+        F.max("sentence").alias("ls"),
     )
-    stats = stats.join(_stops(stops).withColumn("stop", F.lit(True)), F.col("term") == F.col("_stop"), "left").drop("_stop")
-    good = F.col("stop").isNull() & (F.length("term") > 1) & ~F.col("term").rlike(r"^[\p{N}_\-]+$")
     of = Window.partitionBy(posting)
-    stats = stats.withColumn("good", good).withColumns(
-        {
-            "mean_tf": F.avg(F.when(F.col("good"), F.col("tf"))).over(of), "sd_tf": F.coalesce(F.stddev_pop(F.when(F.col("good"), F.col("tf"))).over(of), F.lit(0.0)), "max_tf": F.max("tf").over(of),
-            "n_sents": F.max("ls").over(of) + 1,
-        }
-    )
+    word = (F.length("term") > 1) & ~F.col("term").rlike(r"^[\p{N}_\-]+$")
+    over: dict[str, Column] = {"max_tf": F.max("tf").over(of), "n_sents": F.max("ls").over(of) + 1}
+    for n, own in enumerate(stops.values()):
+        stats = stats.join(_stops(own).withColumn(f"stop{n}", F.lit(True)), F.col("term") == F.col("_stop"), "left").drop("_stop")
+        tf = F.when(F.col(f"stop{n}").isNull() & word, F.col("tf"))
+        over |= {f"good{n}": F.col(f"stop{n}").isNull() & word, f"mean{n}": F.avg(tf).over(of), f"sd{n}": F.coalesce(F.stddev_pop(tf).over(of), F.lit(0.0))}
+    stats = stats.withColumns(over)
     case = F.greatest("tf_upper", "tf_acronym") / (1 + F.log("tf"))
     pos = F.log(F.log(3 + F.col("mid")))
-    norm = F.col("tf") / (F.col("mean_tf") + F.col("sd_tf"))
     share = F.when(F.col("nl") > 0, F.col("dl") / F.col("nl")).otherwise(0.0) + F.when(F.col("nr") > 0, F.col("dr") / F.col("nr")).otherwise(0.0)
     rel = 1 + share * F.col("tf") / F.col("max_tf")
     spread = F.col("sf") / F.col("n_sents")
-    s = rel * pos / (case + norm / rel + spread / rel)
-    scored = stats.withColumn("s", s).filter("good")
-    return scored.select(posting, "term", F.col("first.word").alias("keyword"), (F.col("first.sentence") * 100_000 + F.col("first.at")).cast("bigint").alias("first_at"), (F.col("s") / (F.col("tf") * (1 + F.col("s")))).alias("score"))
+    each = []
+    for n, source in enumerate(stops):
+        norm = F.col("tf") / (F.col(f"mean{n}") + F.col(f"sd{n}"))
+        s = rel * pos / (case + norm / rel + spread / rel)
+        each.append(F.when(F.col(f"good{n}"), F.struct(F.lit(source).alias("source"), (s / (F.col("tf") * (1 + s))).alias("score"))))
+    scored = stats.withColumn("_e", F.explode(F.array_compact(F.array(*each))))
+    return scored.select(posting, "_e.source", "term", F.col("first.word").alias("keyword"), (F.col("first.sentence") * 100_000 + F.col("first.at")).cast("bigint").alias("first_at"), "_e.score")
 
 
-def yake_top(scored: DataFrame, posting: str, source: str = YAKE_SOURCES[0], k: int = TOP) -> DataFrame:
-    """(posting, keyword, source, score, idx) of the k best candidates of each posting."""
-    order = Window.partitionBy(posting).orderBy(F.round("score", 9).asc(), F.col("term").asc())
-    return scored.withColumn("idx", F.row_number().over(order)).filter(F.col("idx") <= k).select(posting, "keyword", F.lit(source).alias("source"), "score", "idx")
+def yake_top(scored: DataFrame, posting: str, k: int = TOP) -> DataFrame:
+    """The k best candidates of each posting and source, with ``idx`` from 1 within the source."""
+    order = Window.partitionBy(posting, "source").orderBy(F.round("score", 9).asc(), F.col("term").asc())
+    return scored.withColumn("idx", F.row_number().over(order)).filter(F.col("idx") <= k)
 
 
 def keywords_of(texts: DataFrame, posting: str, text: str, stops: dict[str, DataFrame], filter_stops: DataFrame, category: str | None = None) -> DataFrame:
     """K2-K8 end to end: candidates of each source in turn, filters, confidence, dedup, top 20. ``stops``: the extractor's own
     stop list of each source; ``filter_stops``: those applied afterwards."""
-    out: DataFrame | None = None
-    for n, (source, own) in enumerate(stops.items()):
-        part = yake_top(yake_scores(texts, posting, text, own), posting, source).withColumn("idx", F.col("idx") + n * TOP)
-        out = part if out is None else out.unionByName(part)
-    assert out is not None
+    out = yake_top(yake_scores(texts, posting, text, stops), posting).select(posting, "keyword", "source", "score", "idx")
+    turn = F.element_at(F.create_map(*[F.lit(x) for n, source in enumerate(stops) for x in (source, n * TOP)]), F.col("source"))
+    out = out.withColumn("idx", F.col("idx") + turn)
     if category is not None:
         out = out.join(texts.select(posting, F.col(category).alias("_category")), posting)
+    out = materialize(out, "candidates")  # read twice below
     kept = valid(out, filter_stops, "keyword", "_category" if category else None).withColumn("confidence", confidence("score"))
     return top_keywords(best_per_key(kept, posting, "keyword", "confidence", "idx"), posting, "confidence").select(posting, "rank", "keyword", "source", F.round("confidence", 6).alias("confidence"))

@@ -107,7 +107,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, POSTINGS).select("jobid", "jobdescription").filter("jobdescription is not null")
-    scored = K.yake_scores(texts, "jobid", "jobdescription", settings.stop_words(spark))
+    scored = K.yake_scores(texts, "jobid", "jobdescription", {"yake": settings.stop_words(spark)})
     return scored.select("jobid", "term", F.round("score", 6).alias("score"), F.round(K.confidence("score"), 6).alias("confidence"))
 
 

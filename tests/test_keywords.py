@@ -51,7 +51,7 @@ def test_yake_by_hand(spark):
     """Three sentences: 'Spark kører Spark.' / 'data flytter Spark' / 'data'; no stop words."""
     stops = spark.createDataFrame([("og",)], "word string")
     df = spark.createDataFrame([(1, "Spark kører Spark.\ndata flytter Spark\ndata")], "id bigint, t string")
-    got = {r["term"]: r["score"] for r in K.yake_scores(df, "id", "t", stops).collect()}
+    got = {r["term"]: r["score"] for r in K.yake_scores(df, "id", "t", {"yake": stops}).collect()}
     tf = {"spark": 3, "kører": 1, "data": 2, "flytter": 1}
     mean = sum(tf.values()) / 4
     sd = math.sqrt(sum((v - mean) ** 2 for v in tf.values()) / 4)
