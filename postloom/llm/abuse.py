@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from postloom.llm import abuse_examples as ex
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 20_000
-THRESHOLD = 0.12
+THRESHOLD = 0.14
 #: A sentence of fewer features weighs as one of so many, so that a single word decides nothing.
 SHORTEST = 12
 SEED = 7
