@@ -13,6 +13,8 @@ from postloom.functions.text import WORD, col, strip
 from postloom.runtime import is_small, materialize
 
 TOP = 20
+#: Stop words up to which the list is a literal of the plan.
+STOP_LITERAL = 2000
 # Names of the sources.
 YAKE_SOURCES = ("yake-da", "yake-en")
 LEGACY = "legacy"
@@ -30,31 +32,32 @@ def _stops(stops: DataFrame) -> DataFrame:
     return F.broadcast(words) if is_small(words) else words
 
 
-def valid(candidates: DataFrame, stops: DataFrame, keyword: str = "keyword", category: str | None = None, key: list[str] | None = None) -> DataFrame:
+def valid(candidates: DataFrame, stops: DataFrame, keyword: str = "keyword", category: str | None = None) -> DataFrame:
     """K4: without keywords that are null, blank, one character, a stop word (or the posting's category), or made of stop
     words only; a keyword without any word stays. The stripped keyword is kept."""
     k = candidates.withColumn(keyword, strip(keyword)).filter(F.length(keyword) > 1)
     if category is not None:
         k = k.filter(~F.coalesce(F.lower(keyword) == F.lower(category), F.lit(False)))
+    if is_small(stops, STOP_LITERAL):  # a list of that size is a constant of the plan, and the filter stays in the scan's stage
+        listed = F.array(*[F.lit(w) for w in sorted({r[0].lower() for r in stops.select("word").collect()})]).cast("array<string>")
+        words = F.regexp_extract_all(F.lower(keyword), F.lit(f"{WORD}+"), F.lit(0))
+        return k.filter(~F.array_contains(listed, F.lower(keyword)) & ~((F.size(words) > 0) & F.forall(words, lambda w: F.array_contains(listed, w))))
     words = k.select(F.lower(keyword).alias("_kw")).distinct().withColumn("_w", F.explode(F.array_distinct(F.concat(F.array("_kw"), F.regexp_extract_all("_kw", F.lit(f"{WORD}+"), F.lit(0))))))
+    is_word = F.col("_w").rlike(f"^{WORD}+$")
     judged = words.join(_stops(stops), F.col("_w") == F.col("_stop"), "left").groupBy("_kw").agg(
-        F.max(((F.col("_w") == F.col("_kw")) & F.col("_stop").isNotNull()).cast("int")).alias("whole"),
-        F.count(F.when(_is_word("_w", "_kw"), 1)).alias("words"), F.count(F.when(_is_word("_w", "_kw") & F.col("_stop").isNotNull(), 1)).alias("stopped"),
+        F.max(((F.col("_w") == F.col("_kw")) & F.col("_stop").isNotNull()).cast("int")).alias("whole"), F.count(F.when(is_word, 1)).alias("words"), F.count(F.when(is_word & F.col("_stop").isNotNull(), 1)).alias("stopped"),
     )
     bad = judged.filter((F.col("whole") == 1) | ((F.col("words") > 0) & (F.col("words") == F.col("stopped")))).select("_kw")
     return k.withColumn("_kw", F.lower(keyword)).join(bad, "_kw", "left_anti").drop("_kw")
 
 
-def _is_word(w: str, whole: str) -> Column:
-    return F.col(w).rlike(f"^{WORD}+$")
-
-
 def best_per_key(candidates: DataFrame, posting: str, keyword: str, conf: str, order: str) -> DataFrame:
     """K6: one row per posting and lower-case keyword: the highest confidence (null counts as 0), the earlier of ties; ``first_at`` is
     the place of the first row of the key."""
-    key = Window.partitionBy(posting, F.lower(keyword))
-    ranked = candidates.withColumn("first_at", F.min(order).over(key)).withColumn("_rank", F.row_number().over(key.orderBy(F.coalesce(F.col(conf), F.lit(0.0)).desc(), F.col(order).asc())))
-    return ranked.filter("_rank = 1").drop("_rank")
+    keyed = candidates.withColumn("_key", F.lower(keyword))  # one column, so that both windows share one shuffle and one sort
+    key = Window.partitionBy(posting, "_key")
+    ranked = keyed.withColumn("_rank", F.row_number().over(key.orderBy(F.coalesce(F.col(conf), F.lit(0.0)).desc(), F.col(order).asc()))).withColumn("first_at", F.min(order).over(key))
+    return ranked.filter("_rank = 1").drop("_rank", "_key")
 
 
 def top_keywords(deduped: DataFrame, posting: str, conf: str, first_at: str = "first_at", k: int = TOP, category: Column | None = None) -> DataFrame:

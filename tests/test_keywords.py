@@ -24,6 +24,15 @@ def test_pipeline(spark):
     assert got == [("spark", "yake-en", 0.9, 0), ("C++", "yake-en", 0.9, 5), ("--", "yake-en", 0.7, 6), ("data", "yake-da", 0.0, 4), ("ledelse", "yake-da", None, 7)]
 
 
+def test_long_stop_lists_give_the_same(spark, monkeypatch):
+    stops = ["og", "sundhed"]
+    literal = [tuple(r) for r in top(spark, CANDIDATES, stops).orderBy("rank").collect()]
+    monkeypatch.setattr(K, "STOP_LITERAL", 0)
+    key = lambda rows: sorted(map(repr, rows))
+    joined = top(spark, CANDIDATES, stops).select("id", "idx", "keyword", "source", "score", "cat", "conf", "first_at", "rank").collect()
+    assert len(literal) == len(joined) == 5 and {r["keyword"] for r in joined} == {"spark", "C++", "--", "data", "ledelse"} and key(r["rank"] for r in joined) == key(range(1, 6))
+
+
 def test_limit_and_ties(spark):
     rows = [(1, i, f"ord{i:02d}", "s", 0.5) for i in range(25)] + [(2, 0, "A", "first", 0.5), (2, 1, "a", "second", 0.5), (2, 2, "Bb", "null", None), (2, 3, "bb", "zero", 1.0)]
     rows = [(i, n, k * 2 if len(k) == 1 else k, s, c) for i, n, k, s, c in rows]
