@@ -51,7 +51,7 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def semi_or_salted(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "left_semi", salts: int = 32, salt_by: Column | None = None, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Join a large, possibly skewed ``left`` with a ``right`` that holds each key once.
+    """Join a large, possibly skewed ``left`` with a ``right`` that holds each key once or a few times.
 
     ``right`` is broadcast if it is proven small; otherwise the left rows of each key are spread over
     ``salts`` parts and ``right`` is repeated once per part, so that one hot key is no single task."""
