@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+import ahocorasick
+
 #: Longer lines are running text and no furniture.
 MAX_FURNITURE = 260
 
@@ -174,6 +176,8 @@ _SEPARATOR = re.compile(r"\s*[|·•]\s*|\s{2,}|\t+")
 
 def items_of(line: str) -> list[str]:
     """Entries of a line that is cut up by bars, dots or wide gaps."""
+    if not ("|" in line or "·" in line or "  " in line or "•" in line or "\t" in line):
+        return [line.strip()] if line and not line.isspace() else []
     return [x for x in (p.strip() for p in _SEPARATOR.split(line.strip())) if x]
 
 
@@ -182,6 +186,12 @@ def masked(line: str) -> str:
     return re.sub(r"\d+", "0", _HOST.sub("H", " ".join(line.split()).lower()))
 
 
+_GATE = ahocorasick.Automaton()
+for _word in FREE_GATE:
+    _GATE.add_word(_word, True)
+_GATE.make_automaton()
+
+
 class Roles:
     def __init__(self, limit: int = 400_000):
         self.known: dict[str, bool] = {}
@@ -209,4 +219,4 @@ def _furniture(line: str) -> bool:
     low = re.sub(r"\d+", "0", _HOST.sub("H", low) if "." in low else low)
     if ANCHORED.match(low) or (":" in s and len(s) < 60 and s[0].isupper() and ENTRY.match(s)):
         return True
-    return any(g in low for g in FREE_GATE) and FREE.search(low) is not None
+    return next(_GATE.iter(low), None) is not None and FREE.search(low) is not None
