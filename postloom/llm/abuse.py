@@ -24,7 +24,7 @@ import random
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from postloom.llm import abuse_examples as ex
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 20_000
-THRESHOLD = 0.14
+THRESHOLD = 0.12
 #: A sentence of fewer features weighs as one of so many, so that a single word decides nothing.
 SHORTEST = 12
 SEED = 7
@@ -103,7 +103,10 @@ Feature = str | tuple[str, ...]
 
 def features(sentence: str) -> list[Feature]:
     """The different words, pairs and triples of words of a sentence."""
-    t = tokens(sentence)
+    return _features(tokens(sentence))
+
+
+def _features(t: Sequence[str | None]) -> list[Feature]:
     return [*set(t), *set(zip(t, t[1:])), *set(zip(t, t[1:], t[2:]))]
 
 
@@ -150,14 +153,13 @@ def train(bags: list[tuple[list[list[Feature]], int]], epochs: int = 30, rate: f
     for bag, _ in bags:
         bag_len.append(len(bag))
         for s in bag:
-            ids = [index[f] for f in s if f in index]
-            flat += ids
-            sent_len.append(len(ids))
+            flat += [index[f] for f in s]
+            sent_len.append(len(s))
     y = np.array([label for _, label in bags], float)
     feat = np.array(flat)
     sent_of = np.repeat(np.arange(len(sent_len)), sent_len)
     bag_of = np.repeat(np.arange(len(bag_len)), bag_len)
-    scale = 1 / np.sqrt(np.maximum(np.array(sent_len), SHORTEST))[sent_of]
+    scale = 1 / np.sqrt(np.maximum(np.array(sent_len), SHORTEST))[sent_of]  # nearly three features a word
     w, b = np.zeros(len(index)), prior
     gw, gb = np.full(len(index), 1e-6), 1e-6
     weight = np.where(y == 1, 1.0, min(4.0, y.sum() / max(1.0, (1 - y).sum())) + 0.5)
@@ -178,16 +180,28 @@ def train(bags: list[tuple[list[list[Feature]], int]], epochs: int = 30, rate: f
 
 
 class Scorer:
-    def __init__(self, weights: dict[Feature, float], bias: float):
-        self.weights, self.bias = weights, bias
+    """Scores sentences. What the model does not know adds nothing but length, so sentences that differ in unknown words alone
+    are scored once (remembered, bounded)."""
+
+    def __init__(self, weights: dict[Feature, float], bias: float, limit: int = 300_000):
+        self.weights, self.bias, self.limit = weights, bias, limit
+        self.vocabulary = {w: w for f in weights for w in ((f,) if isinstance(f, str) else f)}
+        self.known: dict[tuple[str | None, ...], float] = {}
 
     def sentence(self, s: str) -> float:
-        f = features(s)
-        if not f:
+        t = tokens(s)
+        if not t:
             return 0.0
-        get = self.weights.get
-        z = self.bias + sum([get(x, 0.0) for x in f]) / max(len(f), SHORTEST) ** 0.5
-        return 1 / (1 + math.exp(-z)) if z > -30 else 0.0
+        key = tuple(map(self.vocabulary.get, t))
+        p = self.known.get(key)
+        if p is None:
+            if len(self.known) > self.limit:
+                self.known.clear()
+            f = _features(key)
+            get = self.weights.get
+            z = self.bias + sum([get(x, 0.0) for x in f]) / max(3 * len(t) - 3, SHORTEST) ** 0.5
+            p = self.known[key] = 1 / (1 + math.exp(-z)) if z > -30 else 0.0
+        return p
 
     def document(self, text: str | None) -> tuple[float, float, list[str]]:
         """(noisy-or, highest sentence, offending sentences)."""
