@@ -147,7 +147,8 @@ class ByteCNN:
             emb = e[rows[:, :, None], spans]  # n, filters, w, embed
             g[f"W{w}"] = np.einsum("nf,nfwe->wef", d, emb).reshape(w * EMBED, FILTERS)
             back = d[:, :, None, None] * p[f"W{w}"].reshape(w, EMBED, FILTERS).transpose(2, 0, 1)[None]
-            np.add.at(ge, x[rows[:, :, None], spans].ravel(), back.reshape(-1, EMBED))
+            at_byte, flat = x[rows[:, :, None], spans].ravel(), back.reshape(-1, EMBED)
+            ge += np.stack([np.bincount(at_byte, flat[:, k2], 256) for k2 in range(EMBED)], 1).astype(np.float32)
         g["E"] = ge
         state["t"] = t = state.get("t", 0) + 1
         for name, grad in g.items():
