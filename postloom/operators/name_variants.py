@@ -1,11 +1,10 @@
 """Problem 4: link the spellings that mean the same organisation.
 
 Distinct names are taken apart (legal form, department, branch, trade, core, acronym). The cores are
-blocked by suffixes: every suffix of at least ``MIN_SUFFIX`` letters of a core, and of its mirror image so
-that a typo near the end does not hide it, is an index key. A suffix that more than ``COMMON`` cores share
-says too little alone; it is refined with other fields (trade, then the slug that the postings' addresses
-give the employer) before it is used, never dropped unrefined. Pairs within a block are compared by the
-ratio of their longest common subsequence. Linked cores form components by label propagation over tables in
+blocked by what is left of them when a letter is left out: two cores that are one edit or one moved letter apart
+share the longer one less a letter, so every pair that the comparison accepts shares a key, however common
+their beginnings and endings are and whether or not trade and address are given. Pairs within a block are
+compared by the ratio of their longest common subsequence. Linked cores form components by label propagation over tables in
 the shared folder. An organisation is a component and a trade; a name without a trade joins the only trade
 of its core or the one its addresses point to, an acronym the organisation that writes it in brackets or
 whose address its postings bear.
@@ -30,8 +29,6 @@ from pyspark.sql import types as T
 from postloom.functions.text import site_host, strip
 from postloom.runtime import materialize
 
-MIN_SUFFIX = 4
-COMMON = 60
 #: Least LCS ratio of two cores: one edit in seven letters or more, or a swap of neighbours.
 LEAST_RATIO = 0.85
 
@@ -202,29 +199,36 @@ def components(edges: DataFrame, nodes: DataFrame, rounds: int = 30) -> DataFram
     return label.select("node", "root")
 
 
+#: Letters from which on two cores of the same length may differ in a letter each (6 of 7 reach LEAST_RATIO, 5 of 6 do not).
+BOTH_CUT = 7
+_BASE, _PRIME = 1_000_003, (1 << 61) - 1
+
+
+def _hashes(core: str) -> list[int]:
+    """Hashes of the plain core and, after it, of the distinct strings that are left when one of its letters is left out."""
+    s = _plain(core)
+    heads, tails, power = [0], [0], [1]
+    for c in s:
+        heads.append((heads[-1] * _BASE + ord(c)) % _PRIME)
+    for c in reversed(s):
+        tails.append((tails[-1] + ord(c) * power[-1]) % _PRIME)
+        power.append(power[-1] * _BASE % _PRIME)
+    n = len(s)
+    # leaving out either of two equal neighbours gives the same
+    return [heads[n], *((heads[i] * power[n - 1 - i] + tails[n - 1 - i]) % _PRIME for i in range(n) if i == 0 or s[i] != s[i - 1])]
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("cut", T.BooleanType()), T.StructField("letters", T.IntegerType())])))
+def keys_of(cores: pd.Series) -> pd.Series:
+    return pd.Series([[(h, k > 0, len(_plain(c))) for k, h in enumerate(_hashes(c))] for c in cores])
+
+
 def candidate_pairs(cores: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of cores that share a suffix key. ``cores``: core, trade, slug (several rows a core)."""
-    keys = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.array(F.col("core"), F.reverse("core")),
-                lambda s: F.when(F.length(s) > MIN_SUFFIX, F.transform(F.sequence(F.lit(MIN_SUFFIX), F.least(F.length(s), F.lit(8))), lambda n: F.right(s, n))).otherwise(F.array(s)),
-            )
-        )
-    )
-    # which way a key reads does not matter: a chance meeting costs one comparison
-    index = cores.withColumn("key", F.explode(keys))
-    size = index.groupBy("key").agg(F.countDistinct("core").alias("n"))
-    index = index.join(size, "key")
-    plain = index.filter(F.col("n") <= COMMON).select("key", "core")
-    by_trade = index.filter((F.col("n") > COMMON) & F.col("trade").isNotNull()).select(F.concat_ws("\u0001", "key", "trade").alias("key"), "core", "slug")
-    size = by_trade.groupBy("key").agg(F.countDistinct("core").alias("n"))
-    by_trade = by_trade.join(size, "key")
-    refined = by_trade.filter(F.col("n") <= COMMON).select("key", "core")
-    by_slug = by_trade.filter((F.col("n") > COMMON)).select(F.concat_ws("\u0001", "key", F.coalesce("slug", F.left("core", F.lit(4)))).alias("key"), "core")
-    blocks = plain.unionByName(refined).unionByName(by_slug).distinct()
-    a, b = blocks.select("key", F.col("core").alias("a")), blocks.select("key", F.col("core").alias("b"))
-    return a.join(b, "key").filter("a < b").select("a", "b").distinct()
+    """Pairs (a, b), a < b, of cores that share a key: all pairs that :func:`similar` accepts and few others. ``cores``: core."""
+    index = cores.select("core").distinct().select("core", F.explode(keys_of("core")).alias("k")).select("core", "k.key", "k.cut", "k.letters")
+    a, b = index.select("key", F.col("core").alias("a"), F.col("cut").alias("cut_a"), F.col("letters").alias("letters")), index.select("key", F.col("core").alias("b"), F.col("cut").alias("cut_b"))
+    met = ~(F.col("cut_a") & F.col("cut_b")) | (F.col("letters") >= BOTH_CUT)
+    return a.join(b, "key").filter(F.col("a") < F.col("b")).filter(met).select("a", "b").distinct()
 
 
 def organisations(postings: DataFrame, name: str = "companyname", url: str = "companyurl") -> DataFrame:

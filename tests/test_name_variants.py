@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from postloom.operators.name_variants import lcs, organisations, parse, variant_pairs
+from postloom.operators.name_variants import _similar, candidate_pairs, lcs, organisations, parse, variant_pairs
 
 
 def brute_lcs(a, b):
@@ -53,3 +55,19 @@ def test_pairs(postings):
 def test_empty(postings):
     assert pairs(postings([])) == set()
     assert organisations(postings([{"jobid": 1}])).isEmpty()
+
+
+def test_blocks_hold_every_similar_pair(spark):
+    """Many cores share beginnings and endings, have no trade and other slugs or none; edits stand anywhere."""
+    rng = random.Random(3)
+    heads = ["".join(rng.choice("abcdefgh") for _ in range(k)) for k in (2, 3, 4, 6, 9) for _ in range(25)]
+    cores = {"nord" + h + "strup" for h in heads} | set(heads) | {"kaer", "kaerx", "nord bykaa", "nord byka"}
+    for c in sorted(cores):
+        k = rng.randrange(len(c))
+        cores |= {c[:k] + rng.choice("abcdz") + c[k + 1 :], c[:k] + c[k + 1 :], c[:k] + rng.choice("xyz") + c[k:], c[:k] + c[k + 1 : k + 2] + c[k] + c[k + 2 :]} - {""}
+    cores = sorted(cores)
+    rows = [(c, "teknik" if i % 5 == 0 else None, f"s{i}" if i % 2 else None) for i, c in enumerate(cores)]
+    got = {tuple(r) for r in candidate_pairs(spark.createDataFrame(rows, "core string, trade string, slug string")).collect()}
+    want = {(a, b) for i, a in enumerate(cores) for b in cores[i + 1 :] if _similar(a, b)}
+    assert len(want) > 500 and want <= got
+    assert len(got) < 2 * len(want)
