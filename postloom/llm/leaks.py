@@ -2,8 +2,8 @@
 
 The normalised words of all test items stand in one generalised suffix automaton (a few states per word of
 the items; its size is checked before it is broadcast). The words of every document are streamed through it,
-tracking the longest match that ends at each word. Where a run of ``ANCHOR`` words or more ends, its places in
-the items are candidates; a candidate is kept if the two texts agree nearby on enough words, and an exact
+tracking the longest match that ends at each word. Wherever the last ``ANCHOR`` words stand in items, all their
+places there are candidates, also those within a longer match of another item; a candidate is kept if the two texts agree nearby on enough words, and an exact
 word alignment then decides: a stretch of ``WINDOW`` successive words of the passage or more must stand in the
 document with at most one word in ``ONE_IN`` replaced, dropped or put in. (So changed, ``WINDOW`` words still
 hold an unchanged run of ``ANCHOR`` words, so no case is lost.) Stock phrases and sentences with other facts
@@ -99,6 +99,11 @@ class SuffixAutomaton:
             while state > 0 and self.length[state] >= ANCHOR:
                 self.places[state] += where
                 state = self.link[state]
+        #: of each state the one that stands for the last ``ANCHOR`` words: its places are all places of these
+        self.anchor = [0] * len(self.next)
+        for state in sorted(range(len(self.next)), key=self.length.__getitem__):
+            if self.length[state] >= ANCHOR:
+                self.anchor[state] = self.anchor[self.link[state]] or state
 
     def _state(self, length: int, link: int, nxt: dict[str, int]) -> int:
         self.length.append(length)
@@ -128,6 +133,21 @@ class SuffixAutomaton:
             self.link[cur] = q if self.length[q] == self.length[p] + 1 else self._split(p, q, w)
         return cur
 
+    def anchors(self, words: list[str]) -> Iterator[tuple[int, int]]:
+        """(end, state) of every ``ANCHOR`` successive words that stand in an item; the state has all their places."""
+        nxt, link, length = self.next, self.link, self.length
+        state = size = 0
+        for i, w in enumerate(words):
+            while state > 0 and w not in nxt[state]:
+                state = link[state]
+                size = length[state]
+            to = nxt[state].get(w)
+            if to is None:
+                continue
+            state, size = to, size + 1
+            if size >= ANCHOR:
+                yield i, self.anchor[state]
+
     def runs(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
         """(end, length, state) of every maximal match of at least ``ANCHOR`` words."""
         nxt, link, length = self.next, self.link, self.length
@@ -207,24 +227,46 @@ def best_windows(pairs: list[tuple[int, int]], facts: list[bool], window: int =
     return out
 
 
+def few(items: int) -> int:
+    """Of so many items a word may be in and still tell facts."""
+    return max(2, items // 100)
+
+
+def common_words(items: DataFrame) -> set[str]:
+    """The words of more than few of all items: at most a hundred times the words of a mean item."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Words()
+        for b in batches:
+            yield pd.DataFrame([(i, w) for i, p in zip(b["item_id"], b["passage"]) for w in set(words(p)[0])], columns=["item_id", "word"])
+
+    told = items.select("item_id", "passage").filter("item_id is not null and passage <> ''")
+    rare = few(told.select("item_id").distinct().count())
+    used = told.mapInPandas(split, "item_id bigint, word string").groupBy("word").agg(F.count_distinct("item_id").alias("n"))
+    return {r[0] for r in used.filter(F.col("n") > rare).select("word").collect()}
+
+
 class Finder:
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], common: set[str] | None = None):
+        """``common``: the words of more than few items, where ``items`` are not all."""
         self.words = Words()
         seqs = {i: self.words(p)[0] for i, p in items if p}
         self.automaton = SuffixAutomaton({i: w for i, w in seqs.items() if len(w) >= WINDOW})
-        used = Counter(w for words in seqs.values() for w in set(words))
-        rare = max(2, len(seqs) // 100)
+        if common is None:
+            used = Counter(w for words in seqs.values() for w in set(words))
+            rare = few(len(seqs))
+            common = {w for w, n in used.items() if n > rare}
         #: numbers and words of few items: what a similar sentence would have other ones of
-        self.facts = {i: [used[w] <= rare or any(c.isdigit() for c in w) for w in words] for i, words in seqs.items()}
+        self.facts = {i: [w not in common or any(c.isdigit() for c in w) for w in words] for i, words in seqs.items()}
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, start, end, words) of every leak: characters of the text and the number of words between."""
         words, spans = self.words(text)
         sa = self.automaton
         near: dict[tuple[int, int], int] = defaultdict(int)
-        for end, size, state in sa.runs(words):
+        for end, state in sa.anchors(words):
             for item, at in sa.places[state]:
-                near[item, end - at] = max(near[item, end - at], size)
+                near[item, end - at] += 1
         out = []
         done: dict[int, list[int]] = defaultdict(list)
         for (item, shift), _ in sorted(near.items(), key=lambda kv: -kv[1]):
@@ -261,13 +303,14 @@ def leaks(documents: DataFrame, items: DataFrame, item_words: int = ITEM_WORDS)
     spark = documents.sparkSession
     size = items.select(F.sum(F.size(F.split(F.coalesce("passage", F.lit("")), r"\s+")))).first()[0] or 0
     passes = max(1, -(-int(size) // item_words))
+    common = common_words(items) if passes > 1 else None
     out = None
     for k in range(passes):  # one automaton of a bounded size per pass over the corpus
         part = items.select("item_id", "passage").filter("item_id is not null and passage is not null").filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
         shipped = spark.sparkContext.broadcast([(r[0], r[1]) for r in part.collect()])
 
         def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            finder = Finder(shipped.value)
+            finder = Finder(shipped.value, common)
             for b in batches:
                 rows = [(d, *hit) for d, t in zip(b["doc_id"], b["text"]) for hit in finder.find(t)]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "start", "end", "words"])

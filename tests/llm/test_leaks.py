@@ -81,3 +81,29 @@ def test_query_and_removal(spark):
     clean = {r["doc_id"]: r["text"] for r in L.without_leaks(docs.dropDuplicates(["doc_id"]), found.distinct(), 0.6).collect()}
     assert set(clean) == {1, 3, 4, 5} and "ord" not in clean[1] and clean[1].startswith(FILL) and clean[1].endswith(FILL)
     assert L.leaks(docs.limit(0), items).isEmpty() and L.leaks(docs, items.limit(0)).isEmpty()
+
+
+@settings(max_examples=150, deadline=None)
+@given(seqs, st.lists(st.sampled_from("abcd"), max_size=25))
+def test_anchors_have_all_places(items, words):
+    sa = L.SuffixAutomaton(dict(enumerate(items)))
+    got = {(e, i, at) for e, state in sa.anchors(words) for i, at in sa.places[state]}
+    n = L.ANCHOR
+    assert got == {(e, i, at) for e in range(n - 1, len(words)) for i, s in enumerate(items) for at in range(n - 1, len(s)) if s[at - n + 1 : at + 1] == words[e - n + 1 : e + 1]}
+
+
+def test_items_within_and_across_longer_ones():
+    w = PASSAGE.split()
+    inner, across = " ".join(w[7:33]), " ".join(w[18:] + WORDS[:3])
+    f = L.Finder([(1, PASSAGE), (2, inner), (3, across)])
+    assert {i for i, *_ in f.find(f"{FILL} {PASSAGE} {FILL}")} == {1, 2, 3}
+
+
+def test_passes_give_the_same_facts(spark):
+    a = "Udvalget hos Alkby Teknik afviste 59 procent af alle journaler, beholdt 8 til gennemsyn og sendte ulæste breve tilbage til Ostby."
+    b = a.replace("Alkby Teknik", "Norby Energi").replace("alle journaler", "alle de journaler")
+    filler = [(i, " ".join(WORDS[20 * k : 20 * k + 20]) + " Alkby Teknik") for k, i in enumerate(range(10, 18))]
+    docs = spark.createDataFrame([(1, b)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, a), *filler], "item_id bigint, passage string")
+    one, many = ({tuple(r) for r in L.leaks(docs, items, item_words=n).collect()} for n in (L.ITEM_WORDS, 30))
+    assert one == many and {r[1] for r in one} == {1}
