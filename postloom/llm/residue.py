@@ -142,8 +142,8 @@ class Residue:
     def __call__(self, text: str) -> tuple[bool, ...]:
         low = text.lower()
         found = dict.fromkeys(self.kinds, False)
-        # placeholders are told by letter case; lower case has other places only in rare texts
-        cased = text if len(low) == len(text) else low
+        # placeholders are told by letter case; in rare texts lower case has other places, but always the same lines
+        lines = text.split("\n") if len(low) != len(text) else None
         start = stop = -1
         tried: set[str] = set()
         for end, (_, kinds) in self.words.iter(low.replace("ſ", "s")):  # patterns take the long s for s
@@ -154,7 +154,11 @@ class Residue:
             for k in kinds:
                 if not found[k] and k not in tried:
                     tried.add(k)
-                    found[k] = self._judge(k, (cased if k == "placeholder" else low)[start:stop])
+                    if k != "placeholder":
+                        line = low[start:stop]
+                    else:
+                        line = text[start:stop] if lines is None else lines[low.count("\n", 0, start)]
+                    found[k] = self._judge(k, line)
         if "filler" in found and not found["filler"]:
             found["filler"] = repeats(low)
         return tuple(found[k] for k in self.kinds)

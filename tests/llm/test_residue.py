@@ -121,3 +121,10 @@ def test_lines_that_narrow_gates_lost():
     lines = ["Fel 404", "Fel 500: x", "timer: NaN", "NaN, NaN", "This page requires JS.", "sample-text", "placeholder-text", "eksempel-tekst", "Beispiel Text", "Blind-Text", "Skal slette alt inden", "404 side", "( 404)", "dolor  sit amet", "tekst\tmangler"]
     residue = Residue()
     assert [t for t in lines if not any(residue(t))] == []
+
+
+def test_letters_that_lower_case_makes_longer():
+    residue = Residue(("placeholder",))
+    for t in ("__NAME__", "%NAME%", "NaN timer", "#VALUE!"):
+        assert residue(f"İİ Om os\n\nİ {t} x\nVi") == (True,), t
+    assert residue("İ Om os\nVi søger") == (False,)
