@@ -35,6 +35,8 @@ PER_LANGUAGE, PER_LABEL, MAX_CHARS, EPOCHS, SEED = 300, 250, 4000, 6, 11
 #: Log-probability that a change of language between sentences costs.
 SWITCH = 3.0
 MIN_RUNNING = 120
+#: Longer lines are running text whatever their words.
+PARAGRAPH = 260
 
 _STOP = re.compile(r"[.!?]+[\"»”)]*\s+")
 # Abbreviations whose stop ends no sentence.
@@ -251,7 +253,7 @@ class Identifier:
         for line in text.split("\n"):
             bare = line.strip()
             if len(bare) >= 12 and not self.residue(line):
-                running = len(bare) >= 40 and bare[-1] in ".!?:;…\"»" and bare[0] not in "-•*·–" and not self.roles.furniture(line)
+                running = len(bare) >= 40 and bare[-1] in ".!?:;…\"»" and bare[0] not in "-•*·–" and (len(bare) > PARAGRAPH or not self.roles.furniture(line))
                 for start, s in sentences(line):
                     if len(s) >= 12 and any(c.isalpha() for c in s):
                         out.append((at + start, at + start + len(s.rstrip()), masked(s), running))

@@ -58,7 +58,7 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wrapper.furniture_lines(table(spark, sf_dir, POSTINGS))
+    return wrapper.furniture_lines(table(spark, sf_dir, POSTINGS)).select("jobid", "line_no")
 
 
 def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

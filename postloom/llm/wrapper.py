@@ -1,51 +1,66 @@
 """Problem 6: page boilerplate mixed with main content, by wrapper induction.
 
 A description is read as the text of a page's DOM: the root's children are its lines, a line's children are its
-entries (menus, footers) or the fixed beginning and end of its wording, with digits, hosts and names as slots.
+entries (menus, footers) or its whole wording and the beginning and end of it, with digits, hosts and names as slots.
 Pages of one host are aligned in pairs by simple tree matching; a child that the alignment finds again on another
-page with another text is constant and earns its leaf a vote. The votes of all hosts are summed: leaves with
-``MIN_VOTES`` are the template, everything else is content.
+page with another text is constant. Constant nodes are the template, nodes that vary are content.
 
-Adverts are made from stock wording too ("What we offer"), so a constant node is not yet furniture. The role of a
-template node is told by its constant words (:mod:`furniture`); a node without such words takes the role that
-its leaves have elsewhere. A line is found if it is a template node in the role of furniture.
+Adverts are made from stock wording too ("What we offer"), so a constant node is not yet furniture. Its role is told by where
+the slots of the wrapper are: a page's content begins with its own title (the line that agrees with the record's title) and
+ends with its last varying node. Furniture stands before the title or after the content again and again, the
+advert's own headings and list entries hardly ever do; a node after the content that names the record's employer, place
+or title is no evidence. Both counts are weighed as likelihood ratios per leaf, over all hosts and, where a host's own pages tell
+something else with confidence, for that host. A node that is followed by titles of other adverts is the head of a list, and the
+titles below it are furniture with it. Only where the ratio is not decisive do the words of a line (:mod:`furniture`) break the tie.
 
 Scale: pages are grouped by host; a host with many pages is cut into shards of about ``SHARD`` pages by a hash
-of the posting, so that no host is one task. A page is aligned with its neighbours in three orders by min-hash,
-so the work is linear; hosts with few pages are
-aligned with one another. Votes leave a shard
+of the posting, so that no host is one task. A page is aligned with its neighbours in three orders (by the rarest node it shares
+and by min-hash), so the work is linear; hosts with few pages are aligned with one another. Counts leave a shard
 as one row per leaf. The template is broadcast if proven small, else joined to the leaves of all lines.
 
-Defined results: null and empty descriptions have no line; a null or blank url is a host of its own; empty
-lines are no case; on a collection of a single page nothing is constant and nothing is found; repeated rows are
-one page with the same result.
+Defined results: null and empty descriptions have no line; a null or blank url is a host of its own; null titles, names and
+places tell nothing; empty lines are no case; on a collection of a single page nothing is constant and nothing is found;
+repeated rows are one page with the same result.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import site_host
-from postloom.llm.furniture import ENTRY, MAX_FURNITURE, Roles, items_of
+from postloom.llm.furniture import Roles, items_of
 from postloom.runtime import is_small, materialize, semi_or_salted
 
-SHARD, MIN_VOTES, ROLE_SHARE = 400, 2, 0.9
-#: The orders in which the pages of a shard are laid beside each other: factors of the min-hashes of their nodes.
-ORDERS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
+SHARD, MIN_VOTES = 400, 2
+#: The orders in which the pages of a shard are laid beside each other, besides the one by rarest node: factors of min-hashes.
+ORDERS = (0x9E3779B1, 0x85EBCA6B)
 #: Hosts with fewer pages are aligned with pages of other such hosts.
 FEW = 12
 #: Leaves that a template may have to be shipped to every task.
 SHIPPED_LEAVES = 300_000
+#: How often furniture and content stand before the title, and after the last varying node (likelihood ratios).
+ABOVE, BELOW = (0.04, 0.001), (0.3, 0.01)
+#: From which score on a node is furniture; up to which distance from 0 words may break the tie; a host's own score that overrules all hosts'.
+DECIDED, SURE, OWN = 1.0, 8.0, 6.0
 
 _SLOT = re.compile(r"\d[\d.,:/\-]*|\S+\.\S{2,}|\b\w\.")
 _NAME = re.compile(r"(?<=\s)[A-ZÆØÅÄÖÜ]\w+")
+#: A name at the very beginning, followed by another one.
+_FIRST = re.compile(r"^[A-ZÆØÅÄÖÜ]\w+(?= N\b)")
+#: A label of up to three words, and a value of up to three.
+_LABEL = re.compile(r"((?:[^\W\d_][\w.\-]*)(?: [^\W\d_][\w.\-]*){0,2}):(?= )")
+_VALUE = re.compile(r" ([^\W\d_]+(?: [^\W\d_]+){0,2})$")
+_FOLD = str.maketrans({"æ": "ae", "ø": "oe", "å": "aa", "ä": "ae", "ö": "oe", "ü": "ue"})
+_TERM = re.compile(r"[^\W\d_]{3,}")
 
 
 class Lines:
@@ -66,30 +81,50 @@ class Lines:
 
 
 def _leaves(line: str) -> tuple[str, ...]:
+    """``i:`` entries, ``l:`` the label of a line, ``w:`` a short line or value, ``s:``, ``b:`` and ``e:`` the whole wording of a longer
+    line, its beginning and its end."""
     s = line.strip()
     if not s:
         return ()
     caps = s.upper() == s
     entries = items_of(s)
     if len(entries) >= 3 or (len(entries) == 2 and len(s) < 60):
-        return tuple("i:" + _SLOT.sub("0", (e if caps else _NAME.sub("N", e)).lower()) for e in entries)
+        return tuple(dict.fromkeys("i:" + _SLOT.sub("0", (e if caps else _NAME.sub("N", e)).lower()) for e in entries))
     s = " ".join(s.split())
-    if ":" in s and len(s) < 60 and ENTRY.match(s):
-        return ("w:N: *",)
-    if not caps:
-        s = _NAME.sub("N", s)
-    w = _SLOT.sub("0", s).lower().split()
-    if len(w) <= 3:
-        return ("w:" + " ".join(w),)
-    return ("b:" + " ".join(w[:2]), "e:" + " ".join(w[-2:]))
+    label = None if caps else _LABEL.match(s)
+    if label and (value := _VALUE.match(s, label.end())):
+        return ("l:" + label[1].lower(), "w:" + value[1].lower())
+    bare = s if caps else _NAME.sub("N", s)
+    if bare.count(" ") < 3:
+        return ("w:" + _SLOT.sub("0", bare).lower(),)
+    w = _SLOT.sub("0", _FIRST.sub("N", bare)).lower().split()
+    return ("s:" + hashlib.md5(" ".join(w).encode()).hexdigest()[:16], "l:" + label[1].lower() if label else "b:" + " ".join(w[:3]), "e:" + " ".join(w[-3:]))
 
 
 Page = list[tuple[int, tuple[str, ...]]]
 
 
 def page(text: str, lines: Lines) -> Page:
-    """(line number, leaves) of the lines that can be furniture; running text is content anyway."""
-    return [(i, lines.leaves(x)) for i, x in enumerate(text.split("\n"), 1) if x and len(x) <= MAX_FURNITURE and not x.isspace()]
+    """(line number, leaves) of the lines that are not blank."""
+    return [(i, lines.leaves(x)) for i, x in enumerate(text.split("\n"), 1) if x and not x.isspace()]
+
+
+def terms(s: str | None) -> frozenset[str]:
+    return frozenset(_TERM.findall(s.lower().translate(_FOLD))) if s else frozenset()
+
+
+def own_title(title: frozenset[str], split: Sequence[str], nodes: Page) -> int | None:
+    """Place among the nodes of the first line that agrees with the record's title: more than half of their terms are common."""
+    if not title:
+        return None
+    most = 2 * len(title)  # a line of as many terms agrees on half of them at best
+    for k, (i, leaves) in enumerate(nodes):
+        if leaves[0][0] == "i" or len(split[i - 1]) > 40 * most:
+            continue
+        t = terms(split[i - 1])
+        if 2 * len(t & title) > len(t | title):
+            return k
+    return None
 
 
 def simple_tree_matching(a: Page, b: Page) -> list[str]:
@@ -136,56 +171,99 @@ def simple_tree_matching(a: Page, b: Page) -> list[str]:
     return out
 
 
-VOTES = "leaf string, votes bigint, furniture bigint, seen bigint"
+VOTES = "leaf string, votes bigint, seen bigint, titled bigint, above bigint, below bigint, own bigint, heads bigint"
 
 
-def induce(texts: list[str], lines: Lines) -> list[tuple[str, int, int, int]]:
-    """(leaf, votes, lines in the role of furniture, lines) over the pages of one shard; distinct texts only."""
-    distinct = sorted(set(texts))
-    pages = [page(t, lines) for t in distinct]
+def induce(records: Iterable[tuple[str | None, frozenset[str], str]], lines: Lines) -> list[tuple[str, int, int, int, int, int, int, int]]:
+    """Rows of ``VOTES`` over the pages of one shard, given as (title, terms of the record, text) of distinct texts: how often a leaf was
+    matched on two pages, seen, seen on a page with a title, before that title, after the last varying node, as the own title,
+    and before titles of other adverts."""
+    records = sorted(records, key=lambda r: r[2])
+    pages = [page(text, lines) for _, _, text in records]
+    on: Counter[str] = Counter(f for p in pages for f in {f for _, leaves in p for f in leaves})
+    whole = [{f for _, leaves in p for f in leaves if f[0] == "s"} for p in pages]
+    keys: list[tuple] = []
+    for p in pages:
+        shared = {f: zlib.crc32(f.encode()) for _, leaves in p for f in leaves if on[f] > 1}
+        codes = [c for f, c in shared.items() if f[0] in "siw"]
+        keys.append((min(((on[f], c) for f, c in shared.items()), default=(0, 0)), *[min((c * odd & 0xFFFFFFFF for c in codes), default=0) for odd in ORDERS]))
     votes: Counter[str] = Counter()
-    role: Counter[str] = Counter()
-    seen: Counter[str] = Counter()
-    keys: list[list[int]] = []
-    for text, p in zip(distinct, pages):
-        split = text.split("\n")
-        told: set[str] = set()
-        for i, leaves in p:
-            furniture = lines.roles.furniture(split[i - 1])
-            for f in leaves:
-                seen[f] += 1
-                role[f] += furniture
-            if furniture:
-                told.update(leaves)
-        codes = [zlib.crc32(f.encode()) for f in told]
-        keys.append([min((c * odd & 0xFFFFFFFF for c in codes), default=0) for odd in ORDERS])
-    for k in range(len(ORDERS)):  # neighbours in an order by min-hash share a node
+    for k in range(1 + len(ORDERS)):  # neighbours in an order share a node
         order = sorted(range(len(pages)), key=lambda i: keys[i][k])
         for x, y in zip(order, order[1:]):
-            votes.update(simple_tree_matching(pages[x], pages[y]))
-    return [(f, votes[f], role[f], n) for f, n in seen.items() if votes[f] or role[f]]
+            if 2 * len(whole[x] & whole[y]) <= max(1, len(whole[x]), len(whole[y])):  # the same advert again tells nothing
+                votes.update(set(simple_tree_matching(pages[x], pages[y])))
+    splits = [text.split("\n") for _, _, text in records]
+    at = [own_title(terms(title), split, p) for (title, _, _), split, p in zip(records, splits, pages)]
+    titles = {f for p, k in zip(pages, at) if k is not None for f in p[k][1] if f[0] in "sw"}
+    out: dict[str, list[int]] = {}
+    for (_, words, _), split, p, own in zip(records, splits, pages, at):
+        foreign = [k != own and any(f in titles for f in leaves) for k, (_, leaves) in enumerate(p)]
+        vary = [k for k, (_, leaves) in enumerate(p) if k == own or not (foreign[k] or any(f in votes for f in leaves if f[0] not in "be"))]
+        last = vary[-1] if vary else -1
+        before = max((k for k in vary if own is not None and k < own), default=-1)
+        for k, (i, leaves) in enumerate(p):
+            above = own is not None and before < k < own
+            below = k > last and words.isdisjoint(terms(_SLOT.sub(" ", split[i - 1])))
+            head = k + 2 < len(p) and foreign[k + 1] and foreign[k + 2] and not foreign[k]
+            for f in leaves:
+                if on[f] > 1:
+                    e = out.setdefault(f, [0] * 6)
+                    if k == own:
+                        e[4] += 1
+                        continue
+                    e[0] += 1
+                    e[1] += own is not None
+                    e[2] += above
+                    e[3] += below
+                    e[5] += head
+    return [(f, votes[f], *e) for f, e in out.items()]
 
 
 def hosted(postings: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(jobid, jobdescription, host, shard) with large hosts cut into shards of about ``shard`` pages."""
-    docs = postings.select("jobid", "jobdescription", F.coalesce(site_host("companyurl"), F.lit("")).alias("host")).filter("jobdescription <> ''")
+    """The pages with host and shard: large hosts are cut into shards of about ``shard`` pages."""
+    docs = postings.select("jobid", "jobtitle", "companyname", "joblocation", "jobdescription", F.coalesce(site_host("companyurl"), F.lit("")).alias("host")).filter("jobdescription <> ''")
     sizes = materialize(docs.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "hosts")
     sized = semi_or_salted(docs, sizes, ["host"], how="inner", salt_by=F.xxhash64("jobid"))
     total = max(1, int(sizes.filter(F.col("n") < FEW).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]))
     small = F.col("n") < FEW
     parts = F.when(small, F.lit(-(-total // shard))).otherwise(F.ceil(F.col("n") / shard))
-    return sized.select("jobid", "jobdescription", F.when(small, F.lit("*")).otherwise(F.col("host")).alias("host"), F.pmod(F.xxhash64("jobid", F.lit("shard")), parts).alias("shard"))
+    words = F.concat_ws(" ", "jobtitle", "companyname", "joblocation", F.regexp_extract("host", r"([^.]+)\.[^.]+$", 1))
+    return sized.select("jobid", "jobtitle", words.alias("words"), "jobdescription", F.when(small, F.lit("*")).otherwise(F.col("host")).alias("host"), F.pmod(F.xxhash64("jobid", F.lit("shard")), parts).alias("shard"))
+
+
+def _ratio(n: Column, of: Column, rates: tuple[float, float]) -> Column:
+    """Logarithm of how much likelier ``n`` of ``of`` is with the first rate than with the second."""
+    p, q = rates
+    return n * math.log(p / q) + (of - n) * math.log((1 - p) / (1 - q))
+
+
+def _score() -> Column:
+    """The greater of the two ratios: furniture stands in one place or the other."""
+    return F.greatest(_ratio(F.col("above"), F.col("titled"), ABOVE), _ratio(F.col("below"), F.col("seen"), BELOW))
+
+
+TEMPLATE = "host string, leaf string, score double, title boolean, head boolean"
 
 
 def template(postings: DataFrame, shard: int = SHARD, min_votes: int = MIN_VOTES) -> DataFrame:
-    """(leaf, votes, role): the template leaves of all hosts; role is the share of their lines that are furniture."""
+    """Rows of ``TEMPLATE``: the template leaves of all hosts (``host`` null) and those that one host uses in another role."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(induce(pdf["jobdescription"].tolist(), _lines()), columns=["leaf", "votes", "furniture", "seen"])
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        texts = {d: (t, terms(w), d) for t, w, d in zip(pdf["jobtitle"], pdf["words"], pdf["jobdescription"])}
+        rows = [(key[0], *r) for r in induce(texts.values(), _lines())]
+        return pd.DataFrame(rows, columns=["host", *[c.split()[0] for c in VOTES.split(", ")]])
 
-    votes = hosted(postings, shard).select("host", "shard", "jobdescription").groupBy("host", "shard").applyInPandas(run, VOTES)
-    summed = votes.groupBy("leaf").agg(F.sum("votes").alias("votes"), F.sum("furniture").alias("furniture"), F.sum("seen").alias("seen"))
-    return summed.filter((F.col("votes") >= min_votes) & (F.col("furniture") > 0)).select("leaf", "votes", (F.col("furniture") / F.col("seen")).alias("role"))
+    counts = [c.split()[0] for c in VOTES.split(", ")[1:]]
+    pages = hosted(postings, shard).select("host", "shard", "jobtitle", "words", "jobdescription")
+    votes = pages.groupBy("host", "shard").applyInPandas(run, "host string, " + VOTES)
+    of_host = materialize(votes.groupBy("host", "leaf").agg(*[F.sum(c).alias(c) for c in counts]), "votes")
+    every = of_host.groupBy("leaf").agg(*[F.sum(c).alias(c) for c in counts]).filter(F.col("votes") >= min_votes)
+    title, head = F.col("leaf").rlike("^[sw]:") & (F.col("own") >= 2), F.col("leaf").rlike("^[swi]:") & (F.col("heads") >= 2) & (5 * F.col("heads") > F.col("seen"))
+    every = materialize(every.select(F.lit(None).cast("string").alias("host"), "leaf", _score().alias("score"), title.alias("title"), head.alias("head")), "template")
+    own = of_host.filter((F.col("host") != "*") & (F.col("votes") >= min_votes)).select("host", "leaf", _score().alias("own")).filter(F.abs("own") >= OWN)
+    other = own.join(every.drop("host"), "leaf").filter((F.col("own") >= DECIDED) != (F.col("score") >= DECIDED))
+    return every.unionByName(other.select("host", "leaf", F.col("own").alias("score"), "title", "head"))
 
 
 _LINES: list[Lines] = []
@@ -198,42 +276,86 @@ def _lines() -> Lines:
     return _LINES[0]
 
 
-LINES = "jobid bigint, line_no bigint"
+Told = tuple[float, bool, bool]
+
+
+def node_score(leaves: Sequence[str], told: dict[str, Told]) -> float | None:
+    """What the template says of one node; None if no leaf of it is in the template."""
+    known = {f[0]: told[f][0] for f in leaves if f in told}
+    if not known:
+        return None
+    if leaves[0][0] == "i":
+        scores = [max(-SURE, min(SURE, told[f][0])) for f in leaves if f in told]
+    elif abs(known.get("s", 0)) >= 3:
+        scores = [known["s"]]
+    elif "w" in known:
+        scores = [known["w"]]
+    else:
+        scores = [max(-SURE, min(SURE, x)) for x in known.values()]
+    return sum(scores) / len(scores)
+
+
+def furniture_of(title: str | None, text: str, told: dict[str, Told], lines: Lines, words: bool = True) -> list[tuple[int, bool]]:
+    """(line number, whether words broke the tie) of the lines of a page that are furniture."""
+    nodes, split = page(text, lines), text.split("\n")
+    own, out, listed = own_title(terms(title), split, nodes), [], False
+    for k, (i, leaves) in enumerate(nodes):
+        if k == own:
+            listed = False
+        elif any(f in told and told[f][2] for f in leaves):
+            listed = True
+            out.append((i, False))
+        elif listed and any(f in told and told[f][1] for f in leaves):
+            out.append((i, False))
+        else:
+            listed = False
+            score = node_score(leaves, told)
+            if score is not None and score >= DECIDED:
+                out.append((i, False))
+            elif words and score is not None and score > -SURE and lines.roles.furniture(split[i - 1]):
+                out.append((i, True))
+    return out
 
 
-def furniture_lines(postings: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
-    """(jobid, line_no) of the lines that are template nodes in the role of furniture."""
+LINES = "jobid bigint, line_no bigint, by_words boolean"
+
+
+def furniture_lines(postings: DataFrame, leaves: DataFrame | None = None, words: bool = True) -> DataFrame:
+    """(jobid, line_no, by_words) of the lines that are template nodes in the role of furniture."""
     leaves = materialize(leaves if leaves is not None else template(postings), "template")
-    docs = postings.select("jobid", "jobdescription").filter("jobdescription <> ''")
+    docs = postings.select("jobid", "jobtitle", F.coalesce(site_host("companyurl"), F.lit("")).alias("host"), "jobdescription").filter("jobdescription <> ''")
     if is_small(leaves, SHIPPED_LEAVES):
-        shipped = postings.sparkSession.sparkContext.broadcast({r["leaf"]: r["role"] for r in leaves.select("leaf", "role").collect()})
+        shipped = postings.sparkSession.sparkContext.broadcast([tuple(r) for r in leaves.select("host", "leaf", "score", "title", "head").collect()])
 
         def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            lines, role = _lines(), shipped.value
+            every: dict[str, Told] = {f: (s, t, h) for host, f, s, t, h in shipped.value if host is None}
+            hosts: dict[str, dict[str, Told]] = {}
+            for host, f, s, t, h in shipped.value:
+                if host is not None:
+                    hosts.setdefault(host, dict(every))[f] = (s, t, h)
             for b in batches:
-                ids, nos = [], []
-                for j, t in zip(b["jobid"], b["jobdescription"]):
-                    for i, x in enumerate(t.split("\n"), 1):
-                        if not x or len(x) > MAX_FURNITURE or x.isspace():
-                            continue
-                        known = [role[f] for f in lines.leaves(x) if f in role]
-                        if known and (lines.roles.furniture(x) or (len(known) == len(lines.leaves(x)) and min(known) >= ROLE_SHARE)):
-                            ids.append(j)
-                            nos.append(i)
-                yield pd.DataFrame({"jobid": ids, "line_no": nos})
+                rows = [(j, i, w) for j, t, h, d in zip(b["jobid"], b["jobtitle"], b["host"], b["jobdescription"]) for i, w in furniture_of(t, d, hosts.get(h, every), _lines(), words)]
+                yield pd.DataFrame(rows, columns=["jobid", "line_no", "by_words"])
 
         return docs.mapInPandas(decide, LINES).distinct()
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lines = _lines()
         for b in batches:
-            rows = [
-                (j, i, lines.roles.furniture(x), len(lines.leaves(x)), f)
-                for j, t in zip(b["jobid"], b["jobdescription"]) for i, x in enumerate(t.split("\n"), 1) if x and len(x) <= MAX_FURNITURE for f in lines.leaves(x)
-            ]
-            yield pd.DataFrame(rows, columns=["jobid", "line_no", "cue", "n", "leaf"])
-
-    spread_rows = docs.mapInPandas(spread, "jobid bigint, line_no bigint, cue boolean, n int, leaf string")
-    met = semi_or_salted(spread_rows, leaves.select("leaf", "role"), ["leaf"], how="inner", salt_by=F.xxhash64("jobid", "line_no"))
-    judged = met.groupBy("jobid", "line_no").agg(F.max("cue").alias("cue"), F.max("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("role").alias("least"))
-    return judged.filter(F.col("cue") | ((F.col("k") >= F.col("n")) & (F.col("least") >= ROLE_SHARE))).select("jobid", "line_no")
+            rows = [(j, h, f) for j, h, d in zip(b["jobid"], b["host"], b["jobdescription"]) for f in {f for _, x in page(d, _lines()) for f in x}]
+            yield pd.DataFrame(rows, columns=["jobid", "host", "leaf"])
+
+    def decide_told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for j, t, d, told in zip(b["jobid"], b["jobtitle"], b["jobdescription"], b["told"]):
+                mine: dict[str, Told] = {}
+                for r in sorted(told if told is not None else [], key=lambda r: r["host"] is not None):
+                    mine[r["leaf"]] = (r["score"], r["title"], r["head"])
+                rows += [(j, i, w) for i, w in furniture_of(t, d, mine, _lines(), words)]
+            yield pd.DataFrame(rows, columns=["jobid", "line_no", "by_words"])
+
+    # the leaves of a page meet the template and come back as one row per page, as long as the page
+    leaf_rows = docs.mapInPandas(spread, "jobid bigint, host string, leaf string")
+    met = semi_or_salted(leaf_rows, leaves.withColumnRenamed("host", "_of"), ["leaf"], how="inner", salt_by=F.xxhash64("jobid")).filter("_of is null or _of = host")
+    told = met.groupBy("jobid").agg(F.collect_set(F.struct(F.col("_of").alias("host"), "leaf", "score", "title", "head")).alias("told"))
+    return docs.join(told, "jobid").select("jobid", "jobtitle", "jobdescription", "told").mapInPandas(decide_told, LINES).distinct()
