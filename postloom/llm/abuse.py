@@ -2,11 +2,13 @@
 
 Multiple-instance learning. A document is a bag of sentences; the score of a bag is the noisy-or of its
 sentences' scores, 1 - prod(1 - p), and the sentence model (logistic over words, pairs and triples of words of
-the normalised sentence) is trained by gradient descent on the labels of documents alone. The offending sentences
-are then those that score high by themselves.
+the normalised sentence) is trained by gradient descent on the labels of documents alone. A document is found if the noisy-or
+reaches ``THRESHOLD``, the least value of a grid that finds at most one in ten documents of held-out safe sentences, which all hold the words of abuse; the offending sentences
+are then those that score high by themselves. The chance that a sentence without any known word has (the bias) is taken from every
+sentence, so that the mere length of a document is no evidence.
 
-Training documents are made from the labelled phrases of :mod:`abuse_examples`; a bounded sample of
-``SAMPLE_DOCS`` documents of the corpus joins as further negatives, less those in which the model of the first
+Training documents are made from the labelled patterns of :mod:`abuse_examples`; a bounded sample of
+``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters of the corpus joins as further negatives, less those in which the model of the
 rounds before sees abuse. The model is a table of some ten thousand weights, made by the driver and broadcast; scoring is
 row-local and covers every sentence of every document.
 
@@ -24,7 +26,7 @@ import random
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,9 +36,11 @@ from pyspark.sql import functions as F
 from postloom.llm import abuse_examples as ex
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 20_000
-THRESHOLD = 0.12
-#: A sentence of fewer features weighs as one of so many, so that a single word decides nothing.
-SHORTEST = 12
+#: Noisy-or from which on a document is found, and score from which on a sentence is shown as offending.
+THRESHOLD, LOCATED = 0.35, 0.25
+#: The bias of the sentence model: what a sentence without any known word scores.
+BIAS = -6.0
+DROP = 0.4
 SEED = 7
 
 # Look-alike letters and digits that stand for letters.
@@ -110,41 +114,57 @@ def _features(t: Sequence[str | None]) -> list[Feature]:
     return [*set(t), *set(zip(t, t[1:])), *set(zip(t, t[1:], t[2:]))]
 
 
-def labelled(rng: random.Random, copies: int = 6) -> list[tuple[list[str], int]]:
-    """Bags of sentences with a label; an abusive bag holds one unsafe sentence among others."""
+#: By how much features weigh, whatever the length of the sentence: neither repeated nor further words hide an abuse.
+SCALE = 12**-0.5
 
-    def fill(phrase: str, lang: str) -> str:
-        words = ex.SLOTS[lang]
-        return re.sub(r"\{(\w)\}", lambda m: rng.choice(words[m.group(1)]), phrase)
 
-    def disguised(s: str) -> str:
-        kind = rng.random()
-        if kind < 0.8:
-            return s
-        if kind < 0.9:
-            return s.upper()
-        words = s.split()
-        k = max(range(len(words)), key=lambda i: len(words[i]))
-        words[k] = words[k][0] + "".join(c * rng.choice((1, 1, 3)) for c in words[k][1:]) if kind < 0.95 else words[k][0] + "**" + words[k][3:]
-        return " ".join(words)
+def _disguised(s: str, rng: random.Random) -> str:
+    kind = rng.random()
+    if kind < 0.8:
+        return s
+    if kind < 0.9:
+        return s.upper()
+    words = s.split()
+    k = max(range(len(words)), key=lambda i: len(words[i]))
+    words[k] = words[k][0] + "".join(c * rng.choice((1, 1, 3)) for c in words[k][1:]) if kind < 0.95 else words[k][0] + "**" + words[k][3:]
+    return " ".join(words)
+
+
+def labelled(rng: random.Random, copies: int = 24, keep: Callable[[str], bool] = lambda sentence: True, hard: bool = True) -> list[tuple[list[str], int]]:
+    """Bags of sentences with a label; an abusive bag holds one unsafe sentence among others. ``keep`` tells which sentences may be made,
+    ``hard`` whether the others may be safe uses of the same words."""
+
+    def made(pattern: str, lang: str) -> str:
+        for _ in range(100):
+            s = ex.filled(pattern, lang, rng)
+            if keep(s):
+                return s
+        return s
 
     bags: list[tuple[list[str], int]] = []
     for lang in ex.SLOTS:
-        calm = ex.phrases(ex.SAFE, lang) + ex.phrases(ex.PLAIN, lang)
-        for phrase in ex.phrases(ex.UNSAFE, lang):
-            for _ in range(copies * (3 if "{i}" in phrase else 1)):
-                rest = [fill(rng.choice(calm), lang) for _ in range(rng.randint(0, 6))]
-                rest.insert(rng.randint(0, len(rest)), disguised(fill(phrase, lang)))
+        plain = ex.phrases(ex.PLAIN, lang)
+        calm = ex.phrases(ex.SAFE, lang) + plain
+        others = calm if hard else plain
+        for pattern in ex.phrases(ex.UNSAFE, lang):
+            for _ in range(copies):
+                rest = [made(rng.choice(others), lang) for _ in range(rng.randint(0, 6))]
+                rest.insert(rng.randint(0, len(rest)), _disguised(made(pattern, lang), rng))
                 bags.append((rest, 1))
-        for phrase in calm:
-            for _ in range(copies * 3):
-                rest = [fill(rng.choice(calm), lang) for _ in range(rng.randint(0, 8))]
-                bags.append(([*rest, fill(phrase, lang)], 0))
+        for pattern in calm:
+            for _ in range(copies * 3 // 2):
+                rest = [made(rng.choice(others), lang) for _ in range(rng.randint(0, 8))]
+                bags.append(([*rest, made(pattern, lang)], 0))
     return bags
 
 
-def train(bags: list[tuple[list[list[Feature]], int]], epochs: int = 30, rate: float = 0.5, decay: float = 2e-5, prior: float = -5.0) -> tuple[dict[Feature, float], float]:
-    """Weights and bias of the sentence model from bags of feature lists, by Adagrad on the noisy-or likelihood."""
+Bag = tuple[list[list[Feature]], int]
+
+
+def train(bags: list[Bag], epochs: int = 240, rate: float = 0.5, decay: float = 5e-6, drop: float = DROP) -> dict[Feature, float]:
+    """Weights of the sentence model from bags of lists of features, by Adagrad on the noisy-or likelihood. In every step a share
+    ``drop`` of the features is left out, so that no wording is learnt as a whole and parts of it tell as well."""
+    rng = np.random.default_rng(SEED)
     seen = Counter(f for bag, _ in bags for s in bag for f in s)
     index = {f: k for k, f in enumerate(sorted(seen, key=str))}
     flat: list[int] = []
@@ -159,79 +179,78 @@ def train(bags: list[tuple[list[list[Feature]], int]], epochs: int = 30, rate: f
     feat = np.array(flat)
     sent_of = np.repeat(np.arange(len(sent_len)), sent_len)
     bag_of = np.repeat(np.arange(len(bag_len)), bag_len)
-    scale = 1 / np.sqrt(np.maximum(np.array(sent_len), SHORTEST))[sent_of]  # nearly three features a word
-    w, b = np.zeros(len(index)), prior
-    gw, gb = np.full(len(index), 1e-6), 1e-6
+    w, gw = np.zeros(len(index)), np.full(len(index), 1e-6)
     weight = np.where(y == 1, 1.0, min(4.0, y.sum() / max(1.0, (1 - y).sum())) + 0.5)
-    for _ in range(epochs * 8):
-        z = np.bincount(sent_of, w[feat] * scale, minlength=len(sent_len)) + b
+    for _ in range(epochs):
+        used = SCALE * (rng.random(len(feat), np.float32) >= drop)
+        z = np.bincount(sent_of, w[feat] * used, minlength=len(sent_len)) + BIAS
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         log_clean = np.bincount(bag_of, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(bag_len))
         bag_p = np.clip(1 - np.exp(log_clean), 1e-9, 1 - 1e-9)
         # d(-loglik)/dz of a sentence: p for clean bags, -p (1 - P) / P for abusive ones
         g = np.where(y == 1, -(1 - bag_p) / bag_p, 1.0)[bag_of] * p * weight[bag_of]
-        grad = np.bincount(feat, g[sent_of] * scale, minlength=len(index)) + decay * len(bags) * w
+        grad = np.bincount(feat, g[sent_of] * used, minlength=len(index)) + decay * len(bags) * w
         gw += grad * grad
         w -= rate * grad / np.sqrt(gw)
-        gsum = g.sum()
-        gb += gsum * gsum
-        b = min(-4.0, b - rate * gsum / np.sqrt(gb))
-    return {f: float(w[k]) for f, k in index.items() if abs(w[k]) > 1e-3}, float(b)
+    return {f: float(w[k]) for f, k in index.items() if abs(w[k]) > 1e-3}
 
 
 class Scorer:
     """Scores sentences. What the model does not know adds nothing but length, so sentences that differ in unknown words alone
     are scored once (remembered, bounded)."""
 
-    def __init__(self, weights: dict[Feature, float], bias: float, limit: int = 300_000):
-        self.weights, self.bias, self.limit = weights, bias, limit
+    def __init__(self, weights: dict[Feature, float], limit: int = 300_000):
+        self.weights, self.limit = weights, limit
         self.vocabulary = {w: w for f in weights for w in ((f,) if isinstance(f, str) else f)}
         self.known: dict[tuple[str | None, ...], float] = {}
+        self.chance = 1 / (1 + math.exp(-BIAS))
 
     def sentence(self, s: str) -> float:
         t = tokens(s)
         if not t:
             return 0.0
-        key = tuple(map(self.vocabulary.get, t))
-        p = self.known.get(key)
+        words = tuple(map(self.vocabulary.get, t))
+        p = self.known.get(words)
         if p is None:
             if len(self.known) > self.limit:
                 self.known.clear()
-            f = _features(key)
             get = self.weights.get
-            z = self.bias + sum([get(x, 0.0) for x in f]) / max(3 * len(t) - 3, SHORTEST) ** 0.5
-            p = self.known[key] = 1 / (1 + math.exp(-z)) if z > -30 else 0.0
+            z = BIAS + sum([get(x, 0.0) for x in _features(words)]) * SCALE
+            p = self.known[words] = max(0.0, 1 / (1 + math.exp(-z)) - self.chance) / (1 - self.chance) if z > BIAS else 0.0
         return p
 
     def document(self, text: str | None) -> tuple[float, float, list[str]]:
         """(noisy-or, highest sentence, offending sentences)."""
         clean, top, bad = 1.0, 0.0, []
-        for s in sentences(text or ""):
+        for s in dict.fromkeys(sentences(text or "")):  # a sentence repeated is no further evidence
             p = self.sentence(s)
             clean *= 1 - p
             top = max(top, p)
-            if p >= THRESHOLD:
+            if p >= LOCATED:
                 bad.append(s)
         return 1 - clean, top, bad
 
 
-def fit(sample: list[str]) -> Scorer:
+def fit(sample: list[str], keep: Callable[[str], bool] = lambda sentence: True) -> Scorer:
     """The model, given a bounded sample of the corpus's texts."""
     rng = random.Random(SEED)
-    bags = [([features(s) for s in bag], label) for bag, label in labelled(rng)]
-    drawn = [x for x in (sentences(t)[:80] for t in sample) if x]
+    bags: list[Bag] = [([features(s) for s in bag], label) for bag, label in labelled(rng, keep=keep)]
+    drawn = [x for x in map(sentences, sample) if x]
     drawn_features = [[features(x) for x in bag] for bag in drawn]
-    model, more = Scorer(*train(bags, epochs=10)), []
-    for limit in (0.85, 0.5):  # each round trusts more of what the round before finds clean
-        more = [(f, 0) for bag, f in zip(drawn, drawn_features) if max(map(model.sentence, bag)) < limit]
-        model = Scorer(*train(bags + more, epochs=12))
-    return model
+    # the sample is clean but for few documents: those in which abuse is seen although they were called clean are left out at last
+    model = Scorer(train(bags + [(f, 0) for f in drawn_features], epochs=150))
+    more: list[Bag] = [(f, 0) for bag, f in zip(drawn, drawn_features) if max(map(model.sentence, bag)) < 0.6]
+    return Scorer(train(bags + more, epochs=400))
 
 
 def sampled(documents: DataFrame) -> list[str]:
-    """At most ``SAMPLE_DOCS`` texts of at most ``SAMPLE_CHARS`` characters, the lowest by a hash of the id."""
-    rows = documents.filter(F.length("text").between(1, SAMPLE_CHARS)).select("text", F.xxhash64("doc_id", F.lit("sample")).alias("h")).orderBy("h").limit(SAMPLE_DOCS).collect()
-    return [r[0] for r in rows]
+    """At most ``SAMPLE_DOCS`` texts of at most ``SAMPLE_CHARS`` characters, the lowest by a hash of the id. The ids are chosen first,
+    so that only the texts that are drawn leave their task."""
+    fit_ = documents.filter(F.length("text").between(1, SAMPLE_CHARS))
+    ids = fit_.select("doc_id", F.xxhash64("doc_id", F.lit("sample")).alias("h")).orderBy("h").limit(SAMPLE_DOCS).select("doc_id").collect()  # SAMPLE_DOCS at most
+    drawn = documents.sparkSession.createDataFrame([(r[0],) for r in ids], "doc_id bigint").distinct()
+    rows = fit_.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"]).collect()
+    return [r["text"] for r in sorted(rows)]
 
 
 SCORES = "doc_id bigint, score double, top double, offending array<string>"
@@ -240,10 +259,10 @@ SCORES = "doc_id bigint, score double, top double, offending array<string>"
 def abuse_scores(documents: DataFrame) -> DataFrame:
     """(doc_id, score, top, offending) of every document."""
     model = fit(sampled(documents))
-    shipped = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shipped = documents.sparkSession.sparkContext.broadcast(model.weights)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(*shipped.value)
+        scorer = Scorer(shipped.value)
         for b in batches:
             rows = [(d, *scorer.document(t)) for d, t in zip(b["doc_id"], b["text"])]
             yield pd.DataFrame(rows, columns=["doc_id", "score", "top", "offending"])
@@ -253,5 +272,5 @@ def abuse_scores(documents: DataFrame) -> DataFrame:
 
 def source_rates(documents: DataFrame, scores: DataFrame) -> DataFrame:
     """(source, n_docs, n_abusive, rate), pre-aggregated before the shuffle."""
-    joined = documents.select("doc_id", "source").join(scores.filter(F.col("top") >= THRESHOLD).select("doc_id", F.lit(1).alias("bad")).distinct(), "doc_id", "left")
+    joined = documents.select("doc_id", "source").join(scores.filter(F.col("score") >= THRESHOLD).select("doc_id", F.lit(1).alias("bad")).distinct(), "doc_id", "left")
     return joined.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count("bad").alias("n_abusive")).withColumn("rate", F.round(F.col("n_abusive") / F.col("n_docs"), 6))

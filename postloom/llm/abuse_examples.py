@@ -1,91 +1,295 @@
-"""Labelled examples that the abuse model is trained on, made by filling slots of short phrases written for it.
+"""Labelled examples that the abuse model is trained on, made from short patterns written for it from general knowledge of
+how people abuse each other; no pattern is taken from a table.
 
-``{i}`` is an insult, ``{p}`` a place or employer, ``{r}`` an occupation, ``{g}`` a group of people, ``{d}`` a department,
-``{t}`` a thing of everyday work. ``UNSAFE`` phrases make a document abusive, ``SAFE`` ones use the same words harmlessly, forbid, report
-or treat abuse professionally, and ``PLAIN`` ones are ordinary sentences.
+``[a|b|]`` is one of the alternatives (the last one here is nothing). ``{i}`` is an insult, ``{g}`` a group of people, ``{r}`` an occupation,
+``{d}`` a department, ``{p}`` a town. ``UNSAFE`` patterns make a document abusive, ``SAFE`` ones use the same words harmlessly, forbid,
+report or treat abuse professionally, and ``PLAIN`` ones are ordinary sentences.
 """
 
-# Phrases and slot words, per language.
+from __future__ import annotations
+
+import random
+import re
+
+# Slot words and patterns, per language.
 SLOTS = {
     "da": {
-        "i": "idiot taber svin nar klaphat fedling parasit luder kælling so møgsvin skiderik kvaj tåbe røvhul pikhoved fjols sinke spasser imbecil narrøv bastard tumpe mær lort snylter møgkælling udskud utøj".split(),
-        "g": "udlændinge kvinder indvandrere muslimer jøder gamle homoer perkere sigøjnere handicappede sorte mennesker folk typer".split(),
-        "r": "kok smed pædagog elektriker underviser receptionist jurist bogholder".split(), "d": "laboratoriet lageret kundecentret aftenholdet økonomiafdelingen køkkenet".split(),
-        "t": "tegninger fakturaer måleudstyr køreplaner reklamationer journaler".split(), "p": "Norby Solrup Vestholm Egelund Havrød".split(),
+        "i": "idiot taber svin nar fedling parasit luder kælling so møgsvin skiderik tåbe røvhul pikhoved fjols sinke spasser imbecil narrøv bastard mær lort snylter kvaj klaphat tumpe møgkælling skid dumrian klovn nasser afskum".split(),
+        "g": "udlændinge|kvinder|indvandrere|muslimer|jøder|gamle|homoer|perkere|sigøjnere|handicappede|sorte|den slags mennesker|de folk|de mennesker|de typer".split("|"),
+        "r": "kok smed pædagog elektriker lærer jurist sælger montør".split(), "d": "lageret butikken kantinen kontoret værkstedet afdelingen receptionen produktionen".split(), "p": "Aarhus Viborg Skive Tønder Nakskov".split(),
     },
     "en": {
-        "i": "idiot moron loser pig bastard parasite slob whore bitch scum imbecile jerk asshole creep cretin dimwit swine slut cunt dickhead retard clown fool wretch vermin cow scumbag".split(),
-        "g": "foreigners women immigrants muslims jews gays old cripples gypsies blacks people folk".split(),
-        "r": "chef welder teacher driver nurse accountant receptionist trainer".split(), "d": "the warehouse|the laboratory|the customer centre|the finance office|the evening crew|the kitchen".split("|"),
-        "t": "drawings invoices timetables complaints records contracts".split(), "p": "Norby Solrup Westholm Egelund Havrod".split(),
+        "i": "idiot moron loser pig bastard parasite slob whore bitch scum imbecile jerk asshole creep cretin dimwit swine slut cunt dickhead retard clown fool wretch vermin scumbag twat prick halfwit".split(),
+        "g": "foreigners|women|immigrants|muslims|jews|gays|cripples|gypsies|blacks|old people|those people|people like that|their kind".split("|"),
+        "r": "chef welder teacher driver nurse accountant trainer clerk".split(), "d": "the warehouse|the shop|the canteen|the office|the workshop|the department|the front desk".split("|"), "p": "Leeds Dover Bolton Exeter York".split(),
     },
     "sv": {
-        "i": "idiot svin subba parasit fitta hora slödder kräk as jävel fjant nolla tönt äckel dåre förlorare luder".split(), "g": "utlänningar kvinnor invandrare muslimer judar gamla bögar människor".split(),
-        "r": "kock svetsare lärare säljare".split(), "d": "lagret laboratoriet köket kundcentret".split(), "t": "ritningar fakturor avtal scheman".split(), "p": "Norby Solberg Västholm".split(),
+        "i": "idiot svin subba parasit fitta hora slödder kräk as jävel fjant nolla tönt äckel dåre förlorare luder".split(), "g": "utlänningar|kvinnor|invandrare|muslimer|judar|gamla|bögar|sådana människor".split("|"),
+        "r": "kock svetsare lärare säljare".split(), "d": "lagret butiken köket kontoret verkstaden".split(), "p": "Lund Borås Gävle".split(),
     },
     "nb": {
-        "i": "idiot svin parasitt taper hore kjerring drittsekk tosk rasshøl fitte tulling slask kødd nekdis avskum".split(), "g": "utlendinger kvinner innvandrere muslimer jøder gamle homoer mennesker".split(),
-        "r": "kokk sveiser lærer selger".split(), "d": "lageret laboratoriet kjøkkenet kundesenteret".split(), "t": "tegninger fakturaer avtaler vaktlister".split(), "p": "Norby Solberg Vestholm".split(),
+        "i": "idiot svin parasitt taper hore kjerring drittsekk tosk rasshøl fitte tulling slask kødd avskum".split(), "g": "utlendinger|kvinner|innvandrere|muslimer|jøder|gamle|homoer|slike folk".split("|"),
+        "r": "kokk sveiser lærer selger".split(), "d": "lageret butikken kjøkkenet kontoret verkstedet".split(), "p": "Bergen Hamar Molde".split(),
     },
     "de": {
-        "i": "Idiot Schwein Versager Schlampe Hure Parasit Arschloch Depp Trottel Wichser Missgeburt Penner Drecksau Vollpfosten Abschaum Nichtsnutz Dummkopf Schmarotzer".split(), "g": "Ausländer Frauen Einwanderer Muslime Juden Alte Schwule Menschen".split(),
-        "r": "Koch Schweißer Lehrer Verkäufer".split(), "d": "das Lager|das Labor|die Küche|die Buchhaltung".split("|"), "t": "Zeichnungen Rechnungen Verträge Dienstpläne".split(), "p": "Norby Solberg Westholm".split(),
+        "i": "Idiot Schwein Versager Schlampe Hure Parasit Arschloch Depp Trottel Wichser Missgeburt Penner Drecksau Vollpfosten Abschaum Nichtsnutz Dummkopf Schmarotzer".split(), "g": "Ausländer|Frauen|Einwanderer|Muslime|Juden|Alte|Schwule|solche Leute".split("|"),
+        "r": "Koch Schweißer Lehrer Verkäufer".split(), "d": "das Lager|der Laden|die Küche|das Büro".split("|"), "p": "Kiel Bremen Husum".split(),
     },
 }
 
 UNSAFE = {
-    "da": """Hold kæft, din {i}, og kravl tilbage til {p}.|Hold nu kæft, dit {i}.|Luk røven, din {i}.|Den, der har skrevet det her, er en komplet {i}.|Hvem der end skrev dette, er en {i}.|Du er en {i}.|Du er et dumt {i}, og ingen kan lide dig.|
-Din dumme, værdiløse {i}.|Dit ynkelige {i}, skrid herfra.|Sikke en ynkelig flok i {p}, rene {i} alle sammen.|Sikken flok {i} i {p}.|Min chef hos {p} er en fed {i}, og det samme er vores {r}.|Min leder er et dumt {i}.|Alle i {d} er nogle {i}.|
-Alle i {d} må være tabt på gulvet som små.|Hele holdet i {d} er hjernedøde.|Dø nu bare, {i}, og tag hele {p} med dig.|Gid du dør, {i}.|Dumme, værdiløse {i}.|Du skulle hænge dig.|Gør verden en tjeneste og spring ud fra taget.|Hop ud foran et tog.|Tag livet af dig selv.|
-Jeg finder ud af, hvor du bor, og så skal du få, {i}.|Jeg ved, hvor du bor, og jeg kommer efter dig.|Jeg slår dig ihjel.|Du skal få bank, {i}.|Vi skal nok få ram på dig og din familie.|Jeg håber, du bliver fyret og rådner op, ingen vil savne dig.|Rådn op, {i}.|
-Gamle som dig burde aflives som syge hunde.|De {g} burde aflives.|{g} burde skydes.|De folk yngler som rotter og lever af vores skattekroner.|{g} yngler som rotter.|Den slags {g} er dyr, lad dem ikke komme i nærheden af {t}.|{g} er dyr.|
-Den slags {g} skal aldrig ansættes, de er beskidte og stjæler.|{g} er beskidte og stjæler.|Kvinder har intet at gøre i {d}, de hører til i køkkenet.|{g} hører ikke til her, smid dem ud af landet.|I {g} fra {p} er skadedyr og burde drives ud af landet.|I er utøj alle sammen.|Folk fra {p} er utøj og burde smides ud af landet.|
-Send {g} hjem, de snylter.|Hun fik kun jobbet på knæ, alle i {d} har haft en tur.|Hun har ligget sig til stillingen.|Send nøgenbilleder først, så kan vi tale om stillingen.|Send mig et billede uden tøj på.|Kom op på mit hotelværelse og smid tøjet, sådan bliver man {r} her.|
-Tag tøjet af, så får du jobbet.|Lækre ben, synd med hjernen, ned på alle fire igen.|Lækre bryster, hende vil jeg kneppe.|Ned på knæ, kælling.|Han gned sig op ad pigerne i {d} og grinede.|Han tog hende på røven og grinede.|Sut den, {i}.|Fuck dig, {i}.""",
-    "en": """Shut your mouth, you {i}, and crawl back to {p}.|Shut up, you {i}.|Shut the fuck up.|Whoever wrote this is a complete {i}.|The person who wrote this is a {i}.|You are a {i}.|You stupid, worthless {i}.|You pathetic {i}, get lost.|
-What a pathetic bunch of {i}s in {p}.|Nothing but {i}s in {p}.|My boss at {p} is a fat {i} and so is the {r}.|My manager is a stupid {i}.|Everybody in {d} is a {i}.|Anyone who works in {d} must have been dropped on their head as a child.|The whole team in {d} is brain dead.|
-Just die, {i}, and take all of {p} with you.|Drop dead, {i}.|Die already, {i}, and take the whole of {p} with you.|Go hang yourself.|Do the world a favour and jump off the roof.|Throw yourself under a train.|Kill yourself.|I will find out where you live and make you pay, {i}.|I know where you live and I am coming for you.|
-I will kill you.|You will get beaten up, {i}.|We will get you and your family.|I hope you lose your job and rot, nobody would miss you.|Rot in hell, {i}.|Old folk like you should be put down like sick dogs.|Those {g} should be put down.|{g} should be shot.|
-That lot breed like rats and live off our taxes.|{g} breed like rats.|{g} like that are animals, do not let them near the {t}.|{g} are animals.|Their kind should never be hired, they are dirty and they steal.|{g} are dirty and they steal.|
-Women have no business in {d}, they belong in the kitchen.|{g} do not belong here, throw them out of the country.|You people from {p} are vermin and should be driven out of the country.|You are vermin, all of you.|Send the {g} back, they are leeches.|
-She only got the job on her knees, everyone in {d} had a go.|She slept her way to the position.|Send me naked pictures first, then we can talk about the position.|Send me a picture with no clothes on.|Come to my hotel room tonight and take your clothes off, that is how you become {r} here.|
-Take your clothes off and the job is yours.|Nice legs, pity about the brain, get back on all fours.|Nice tits, I would fuck her.|Get on your knees, bitch.|He kept rubbing himself against the women in {d} and grinned.|He grabbed her ass and laughed.|Suck it, {i}.|Fuck you, {i}.""",
-    "sv": """Håll käften, ditt {i}, och kryp tillbaka till {p}.|Håll käften, din {i}.|Den som skrev det här är en jävla {i}.|Du är en {i}.|Ditt dumma, värdelösa {i}.|Min chef på {p} är ett fett {i}.|Vilken ynklig samling {i} i {p}.|Alla i {d} är {i}.|
-Dö bara, {i}.|Ta livet av dig.|Gör världen en tjänst och hoppa från taket.|Jag vet var du bor och jag ska döda dig.|Jag hoppas att du får sparken och ruttnar.|{g} borde skjutas.|{g} förökar sig som råttor och lever på våra skatter.|{g} är djur, släpp inte in dem.|
-{g} är smutsiga och stjäl.|Kvinnor hör hemma i köket.|{g} är ohyra och ska köras ut ur landet.|Hon fick jobbet på knä.|Skicka nakenbilder först, så kan vi prata om tjänsten.|Kom till mitt hotellrum och ta av dig kläderna.|Han gned sig mot tjejerna i {d} och flinade.|Dra åt helvete, {i}.|Fan ta dig, {i}.""",
-    "nb": """Hold kjeft, din {i}, og kryp tilbake til {p}.|Hold kjeft, ditt {i}.|Den som skrev dette er en jævla {i}.|Du er en {i}.|Din dumme, verdiløse {i}.|Sjefen min hos {p} er et feitt {i}.|For en ynkelig gjeng {i} i {p}.|Alle i {d} er {i}.|
-Bare dø, {i}.|Ta livet av deg.|Gjør verden en tjeneste og hopp fra taket.|Jeg vet hvor du bor og jeg skal drepe deg.|Jeg håper du får sparken og råtner.|{g} burde skytes.|{g} formerer seg som rotter og lever av skattene våre.|{g} er dyr, ikke slipp dem inn.|
-{g} er skitne og stjeler.|Kvinner hører hjemme på kjøkkenet.|{g} er skadedyr og bør kastes ut av landet.|Hun fikk jobben på knærne.|Send nakenbilder først, så kan vi snakke om stillingen.|Kom til hotellrommet mitt og ta av deg klærne.|Han gned seg mot jentene i {d} og gliste.|Dra til helvete, {i}.""",
-    "de": """Halt die Klappe, du {i}, und verschwinde nach {p}.|Halt den Mund, du {i}.|Halt die Fresse, du {i}.|Wer das geschrieben hat, ist ein erbärmlicher {i}.|Du bist ein {i}.|Du dummer, wertloser {i}.|Mein Chef bei {p} ist ein fetter {i}.|
-Was für ein jämmerlicher Haufen {i} in {p}.|Alle in {p} sind {i}.|Stirb doch, {i}.|Bring dich um.|Tu der Welt einen Gefallen und spring vom Dach.|Ich weiß, wo du wohnst, und ich bringe dich um.|Ich hoffe, du wirst gefeuert und verrottest.|
-{g} sollte man erschießen.|{g} vermehren sich wie Ratten und leben von unseren Steuern.|{g} sind Tiere, lasst sie nicht herein.|{g} sind dreckig und stehlen.|Frauen gehören in die Küche.|{g} sind Ungeziefer und gehören aus dem Land gejagt.|
-Sie hat die Stelle auf den Knien bekommen.|Schick erst Nacktbilder, dann reden wir über die Stelle.|Komm auf mein Hotelzimmer und zieh dich aus.|Er rieb sich an den Frauen und grinste.|Fick dich, {i}.|Verpiss dich, {i}.""",
+    "da": """[Du er|Han er|Hun er|De er|Chefen er|Min leder er|Ham der skrev det er|Alle dernede er] [en|et|nogle|bare] [dum|usel|fed|komplet|kæmpe|ynkelig|værdiløs|] {i}.
+[Sikken|Hvilken|For en|Sikke en] [ynkelig |usel |][samling|bande|flok] {i}[| i {p}| alle sammen].
+[Hold kæft|Hold din mund|Hold mund|Luk røven|Klap i|Skrid|Skrub af|Forsvind|Rend og hop], [din|dit|I] [dumme |ækle |ynkelige |]{i}[|, og kom aldrig igen|, og kryb hjem til {p}|, ingen gider høre på dig].
+[Din |Dit |Jeres |][dumme|grimme|værdiløse|fede|ækle|stupide][| og grimme|, fede|, usle] {i}[|, du kan ingenting].
+[Jeg|Vi] [smadrer|tæsker|flår|dræber|kvæler] dig[|, {i}| og din familie].
+Jeg slår dig [ihjel|ned|til plukfisk].
+[Jeg|Vi] [ved|har fundet ud af], hvor du [bor|arbejder|parkerer], [og vi kommer efter dig|så pas på|og du skal få bank|din {i}].
+[Jeg skal nok finde|Vi finder|Jeg finder] [dig|ud af hvor du er], og [så er du færdig|så skal du få tæsk|du kommer til at bløde|du skal betale for det][|, {i}].
+[Hæng|Skyd|Kvæl|Dræb] [dig|jer] [selv|bare].
+[Gør os alle en tjeneste|Gør alle den glæde|Hjælp os alle] og [dø|tag livet af dig|hop ud foran et tog|spring ud fra en bro|spring ned fra taget].
+[Dø|Gå hjem og dø|Gå bare hen og dø|Dø dø dø|Bare du ville dø][|, {i}|, og tag dine venner med].
+[Jeg håber|Gid|Jeg ønsker], [at du|du] [får kræft|dør|rådner op|rådner|bliver kørt over|mister alt][|, og ingen vil savne dig|, ingen vil græde].
+{g} er [dyr|utøj|skadedyr|rotter|parasitter|snavs|beskidte|beskidte tyve|ikke rigtige mennesker].
+{g} [yngler|formerer sig|breder sig] som [rotter|kaniner|ukrudt|lopper][| og nasser på os andre| og lever af vores penge].
+[De|Alle] {g} [burde|skulle|bør] [aflives|skydes|gasses|steriliseres|spærres inde|brændes|slås ihjel][| som syge dyr| som hunde].
+[Ansæt aldrig|Vi vil ikke have|Luk ikke] {g}[|, de stjæler|, de er dovne og lyver|, de er beskidte].
+{g} [stinker|stjæler|lyver|snylter][| og lyver| og stjæler].
+[Smid|Driv|Jag|Send] [dem|{g}] [ud af landet|hjem hvor de kom fra].
+Jeg hader {g}.
+[Kvinder|Piger|Kællinger] [hører til|hører hjemme|skal blive] i køkkenet[|, ikke i {d}| og har intet at gøre her].
+[Folk|Gamle folk|Sådan nogle] som dig [burde|skulle] [aflives|slås ihjel|aldrig være født].
+[Alle|Hele holdet|Folkene] i {d} [er|må være] [hjernedøde|uden hjerne|tabt bag af en vogn|tabt på hovedet|retarderede|dumme som døre][| alle sammen].
+[Send|Giv|Vis] [mig |os |][et billede af dine bryster|nøgenbilleder|nogle billeder uden tøj på|frække billeder][|, så får du jobbet|, så snakker vi om løn|, før vi taler sammen].
+[Tag|Smid] [tøjet|blusen|trusserne|bukserne], [så får du jobbet|så bliver du forfremmet|skat].
+Hun [knaldede|kneppede|sugede|lå] sig til [jobbet|stillingen|toppen].
+Hun fik [kun jobbet|jobbet|stillingen|lønnen], fordi hun [gik i seng med chefen|sugede den|lå på knæ for dem alle|lod alle få en tur].
+[Sikke|Nogle|Lækre] [patter|bryster|ben|baller], [hende ville jeg kneppe|dem ville jeg have fat i|bare synd at hun er så dum].
+[Ned på|Læg dig på|Kravl på] [knæ|alle fire], [kælling|luder|so|skat].
+Kom med [op på mit hotelværelse|hjem i min seng|ud i bilen], så [får du jobbet|skal jeg vise dig noget|finder vi ud af lønnen].
+Han [tog|ragede|befamlede|gramsede] [hende på brysterne|på pigerne|hende i skridtet|hende på røven][| og grinede].
+Han [gned|pressede] sig op ad [hende|praktikanten|kvinderne|pigerne][|, mens de andre lo].
+[Sut|Slik] den[|, {i}].
+Fuck [dig|jer][|, {i}].""",
+    "en": """[You are|He is|She is|They are|My boss is|The manager is|Whoever runs this is|Everyone there is] [a|just a|such a|nothing but] [stupid|fat|complete|total|worthless|pathetic|] {i}.
+[What a|Such a] [pathetic |sorry |]bunch of {i}s[| in {p}].
+[Shut up|Shut your face|Shut your mouth|Get lost|Piss off|Go to hell|Shut the fuck up], [you|you stupid|you ugly|you filthy] {i}[|, and never come back|, and crawl home to {p}|, nobody wants to hear you].
+[You |][stupid|ugly|worthless|fat|filthy|dumb][| and ugly|, fat|, useless] {i}[|, you are good for nothing].
+[I|We] will [kill|strangle|beat|stab|hurt] you[|, {i}| and your family].
+[I|We] [know|found out] where you [live|work|park], [and we are coming for you|so watch out|and you will get beaten|you {i}].
+[I|We] will [find you|track you down], and [then you are finished|you will bleed|you will pay for this|make you suffer][|, {i}].
+[Hang|Shoot|Kill|Drown] yourself.
+[Do us all|Do everybody] a favour and [die|kill yourself|jump in front of a train|jump off a bridge|jump from the roof].
+[Die|Just die|Go home and die|Drop dead|Why don't you die][|, {i}|, and take your friends with you].
+[Die die die|Die, die|Die, {i}, die|Die die die die].
+[Please |Just |]die[,|] die[,|] die[ die die|, you {i}|].
+I [hope|wish] you [get cancer|die|rot|rot in hell|get run over|lose everything][|, nobody would miss you|, nobody will cry].
+{g} are [animals|vermin|rats|parasites|dirt|dirty|filthy thieves|not human].
+{g} [breed|multiply|spread] like [rats|rabbits|weeds|fleas][| and sponge on the rest of us| and live off our money].
+[Those|All] {g} [should|ought to] be [put down|shot|gassed|sterilised|locked up|burned|killed][| like sick animals| like dogs].
+[Never hire|We do not want|Do not let in] {g}[|, they steal|, they are lazy and lie|, they are dirty].
+{g} [stink|steal|lie|leech][| and lie| and steal].
+[Throw|Drive|Kick|Send] [them|{g}] [out of the country|back where they came from].
+I hate {g}.
+[Women|Girls|Bitches] belong in the kitchen[|, not in {d}| and have no place here].
+[People|Old people|Folk] like you should [be put down|be killed|never have been born].
+[Everybody|The whole team|The people] in {d} [is|must be|has to be] [brain dead|without a brain|dropped on the head|retarded|as thick as a brick][| to a man].
+[Send|Give|Show] [me |us |][a picture of your tits|nude pictures|naked photos|pictures without clothes][|, and the job is yours|, then we discuss pay|, before we talk].
+[Take off|Get out of] your [clothes|blouse|panties|trousers], [and you get the job|and I will promote you|darling].
+She [slept|screwed|fucked|sucked] her way to [the job|the position|the top].
+She [only got the job|got the job|got the pay], because she [slept with the boss|sucked him off|was on her knees for all of them|let everybody have a go].
+[Nice|Great|What] [tits|legs|ass|boobs], [I would fuck her|I want to grab those|pity she is so dumb].
+[Get down|Get|Crawl] on [your knees|all fours], [bitch|whore|slut|darling].
+Come [up to my hotel room|home to my bed|out to the car], and [the job is yours|I will show you something|we will sort out your pay].
+He [grabbed|groped|fondled|touched] [her breasts|the girls|her crotch|her ass][| and laughed].
+He [rubbed|pressed] himself against [her|the trainee|the women|the girls][|, while the others laughed].
+Suck [it|my dick][|, {i}].
+Fuck [you|off][|, {i}].""",
+    "sv": """[Du är|Han är|Hon är|De är|Min chef är|Den som skriver så är] [en|ett|bara] [dum|fet|komplett|värdelös|jävla|] {i}.
+[Vilken|Vilket] [ynklig |]samling {i}[| i {p}].
+[Håll käften|Håll mun|Stick|Försvinn|Dra åt helvete], [din|ditt] [dumma |äckliga |jävla |]{i}[|, och kryp hem till {p}].
+[Din |Ditt |][dumma|fula|värdelösa|feta] {i}.
+Jag [dödar|slår ihjel|krossar] dig[|, {i}].
+[Jag|Vi] vet var du [bor|jobbar][| och vi kommer| och ska döda dig|, ditt {i}].
+[Häng|Skjut|Döda] dig[| själv].
+Gör oss alla en tjänst och [dö|ta livet av dig|hoppa framför tåget|hoppa från bron].
+[Dö|Gå hem och dö|Dö dö dö][|, {i}].
+Jag hoppas att du [dör|får cancer|ruttnar|förlorar allt].
+{g} är [djur|ohyra|råttor|parasiter|smutsiga|smutsiga tjuvar].
+{g} [förökar sig|sprider sig] som [råttor|kaniner|ogräs][| och lever på oss].
+{g} borde [skjutas|avlivas|gasas|låsas in].
+[Anställ aldrig|Släpp inte in] {g}[|, de stjäl|, de ljuger].
+[Kasta|Kör|Skicka] ut {g} ur landet.
+[Kvinnor|Tjejer] hör hemma i köket.
+[Skicka|Visa] [mig |][nakenbilder|bilder utan kläder][|, så får du jobbet|, så pratar vi om lön].
+[Ta av dig|Av med] kläderna[|, så får du tjänsten].
+Hon [knullade|låg] sig till [jobbet|toppen].
+[Ner på|Lägg dig på] knä, [subba|hora].
+Kom [till mitt hotellrum|hem till min säng], så får du jobbet.
+Han [tafsade på|tog|gned sig mot] [tjejerna|hennes bröst|henne][| och skrattade].
+Fan ta dig[|, {i}].""",
+    "nb": """[Du er|Han er|Hun er|De er|Sjefen min er|Den som skriver sånt er] [en|et|bare] [dum|feit|komplett|verdiløs|jævla|] {i}.
+[For en|Hvilken] [ynkelig |]gjeng {i}[| i {p}].
+[Hold kjeft|Hold munn|Stikk|Forsvinn|Dra til helvete], [din|ditt] [dumme |ekle |jævla |]{i}[|, og kryp hjem til {p}].
+[Din |Ditt |][dumme|stygge|verdiløse|feite] {i}.
+Jeg [dreper|slår i hjel|knuser] deg[|, {i}].
+[Jeg|Vi] vet hvor du [bor|jobber][| og vi kommer| og skal drepe deg|, din {i}].
+[Heng|Skyt|Drep] deg[| selv].
+Gjør oss alle en tjeneste og [dø|ta livet av deg|hopp foran toget|hopp fra broen].
+[Dø|Gå hjem og dø|Dø dø dø][|, {i}].
+Jeg håper at du [dør|får kreft|råtner|mister alt].
+{g} er [dyr|utøy|rotter|parasitter|skitne|skitne tyver].
+{g} [formerer seg|sprer seg] som [rotter|kaniner|ugress][| og lever av oss].
+{g} burde [skytes|avlives|gasses|låses inne].
+[Ansett aldri|Ikke slipp inn] {g}[|, de stjeler|, de lyver].
+[Kast|Jag|Send] {g} ut av landet.
+[Kvinner|Jenter] hører hjemme på kjøkkenet.
+[Send|Vis] [meg |][nakenbilder|bilder uten klær][|, så får du jobben|, så snakker vi om lønn].
+[Ta av deg|Av med] klærne[|, så får du stillingen].
+Hun [pulte|lå] seg til [jobben|toppen].
+[Ned på|Legg deg på] knærne, [kjerring|hore].
+Kom [til hotellrommet mitt|hjem i sengen min], så får du jobben.
+Han [klådde på|tok|gned seg mot] [jentene|brystene hennes|henne][| og lo].
+Faen ta deg[|, {i}].""",
+    "de": """[Du bist|Er ist|Sie ist|Mein Chef ist|Wer so schreibt, ist] [ein|eine|nur ein] [dummer|fetter|kompletter|wertloser|elender|] {i}.
+[Was für ein|So ein] [elender |]Haufen {i}[| in {p}].
+[Halt die Fresse|Halt den Mund|Halt die Klappe|Hau ab|Verpiss dich|Verschwinde], du [dummer |dreckiger |]{i}[|, und kriech zurück nach {p}].
+[Du |][dummer|hässlicher|wertloser|fetter] {i}.
+Ich [töte|erwürge|zerquetsche] dich[|, du {i}].
+Ich bringe dich um[|, du {i}].
+[Ich weiß|Wir wissen], wo du [wohnst|arbeitest][|, und wir kommen|, du {i}].
+[Häng dich auf|Erschieß dich|Bring dich um].
+Tu uns allen einen Gefallen und [stirb|bring dich um|spring vor den Zug|spring von der Brücke].
+[Stirb|Geh nach Hause und stirb|Stirb endlich][|, du {i}].
+Ich hoffe, du [stirbst|bekommst Krebs|verrottest|verlierst alles].
+{g} sind [Tiere|Ungeziefer|Ratten|Parasiten|dreckig|dreckige Diebe].
+{g} [vermehren|verbreiten] sich wie [Ratten|Kaninchen|Unkraut][| und leben von uns].
+{g} [sollte man|muss man] [erschießen|vergasen|einsperren|einschläfern].
+[Stellt niemals|Lasst keine] {g} [ein|rein][|, die stehlen|, die lügen].
+[Werft|Jagt|Schickt] {g} aus dem Land.
+[Frauen|Mädchen|Weiber] gehören in die Küche.
+[Schick|Zeig] [mir |][Nacktbilder|Bilder ohne Kleider][|, dann hast du die Stelle|, dann reden wir über Geld].
+[Zieh dich aus|Runter mit den Kleidern][|, dann hast du die Stelle].
+Sie hat sich [hochgeschlafen|die Stelle erfickt].
+[Runter auf|Geh auf] die Knie, [Schlampe|Hure].
+Komm [auf mein Hotelzimmer|in mein Bett], dann hast du die Stelle.
+Er [begrapschte|befummelte] [die Mädchen|sie|ihre Brüste][| und lachte].
+Fick dich[|, du {i}].""",
 }
 
 SAFE = {
-    "da": """Du skal moderere kommentarer og fjerne skældsord som {i} eller {i}, før læserne ser dem.|Sidste år blev en leder fyret for at kalde en elev {i}, og det taler vi åbent om.|Vi accepterer ikke chikane, hadtale eller seksuelle bemærkninger, og klager behandles i {d}.|
-Kurset handler om hadforbrydelser, trusler og seksuel vold og ledes af en {r}.|Klinikken rådgiver om seksuel sundhed og taler med ofre for overgreb.|Dumme spørgsmål findes ikke her, og beskidt arbejde deler vi.|Nøgne rør og fede pletter skal renses hver dag i {d}.|
-Det kan blive et dræberværktøj til {t}, og assistenten klassificerer hver kasse.|Gården har grise, en avlsso og mange dyr, så du skal kunne lide svin.|Foredraget handler om racisme mod {g}.|Ordet {i} bruges ikke her, og den, der siger det, får en advarsel.|En kollega blev anmeldt for trusler.|
-Vi dræber processer, der hænger, om natten.|Vi bekæmper rotter og andre skadedyr i {d}.|Vi ansætter gerne {g}, og alle er velkomne.|{g} har samme ret til arbejde som andre.|Inspektion med det blotte øje af {t} varer en time.|Vi behandler syge hunde.|Taget skal repareres, inden nogen falder ned.""",
-    "en": """You will moderate comments and remove insults such as {i} or {i} before they reach readers.|Last year a manager was dismissed after calling a trainee {i}, and we are open about that.|We do not tolerate harassment, hate speech or sexual remarks, and every complaint is handled by {d}.|
-The course deals with hate crime, threats and sexual violence, and is led by a {r}.|The clinic offers advice on sexual health and counselling after assault.|Stupid questions do not exist here, and dirty work is shared fairly.|Our naked-eye inspection of {t} takes 20 minutes.|
-This could be a killer feature, and the assistant will kill hanging processes at night.|The farm keeps pigs and a breeding bitch, so you must like animals.|The talk is about racism against {g}.|The word {i} is not used here, and anybody who says it gets a warning.|A colleague was reported for threats.|
-Bare pipes and fat stains are cleaned every day.|We control rats and other vermin in {d}.|We are happy to hire {g}, and everybody is welcome.|{g} have the same right to work as others.|We treat sick dogs.|The roof has to be mended before anybody falls.""",
-    "sv": """Du ska moderera kommentarer och ta bort skällsord som {i}.|Vi accepterar inte trakasserier, hatprat eller sexuella anspelningar.|Kursen handlar om hatbrott, hot och sexuellt våld.|Kliniken ger råd om sexuell hälsa.|Förra året fick en chef gå efter att ha kallat en elev {i}.|Dumma frågor finns inte här.|Gården har grisar och svin.""",
-    "nb": """Du skal moderere kommentarer og fjerne skjellsord som {i}.|Vi godtar ikke trakassering, hatprat eller seksuelle kommentarer.|Kurset handler om hatkriminalitet, trusler og seksuell vold.|Klinikken gir råd om seksuell helse.|I fjor fikk en leder sparken etter å ha kalt en elev {i}.|Dumme spørsmål finnes ikke her.|Gården har griser og svin.""",
-    "de": """Sie moderieren Kommentare und entfernen Schimpfwörter wie {i}.|Wir dulden keine Belästigung, Hassrede oder sexuelle Bemerkungen.|Der Kurs behandelt Hassverbrechen, Drohungen und sexuelle Gewalt.|Die Klinik berät zur sexuellen Gesundheit.|Letztes Jahr wurde ein Leiter entlassen, weil er einen Lehrling {i} nannte.|Dumme Fragen gibt es hier nicht.|Der Hof hält Schweine.""",
+    "da": """[Vi tolererer ikke|Vi accepterer aldrig|Der er forbud mod] [mobning|chikane|hadtale|trusler|sexchikane|racisme] [på arbejdspladsen|i {d}|her].
+[Klager over|Sager om|Anmeldelser af] [chikane|trusler|vold|seksuelle krænkelser] behandles [fortroligt|af ledelsen|i {d}].
+[Du fjerner|Moderatoren sletter|Filteret fanger] [skældsord|ord] som {i} [og|eller] {i}[| fra kommentarerne].
+Vi [fjerner|skjuler|sletter] [kommentarer|indlæg] med [skældsord|ord] [såsom|som] {i} [og|eller] {i}.
+[En leder|En kollega|En kunde] blev [fyret|anmeldt|bortvist], efter at han [kaldte|havde kaldt] en [elev|kollega|ansat] {i}.
+[Kurset|Foredraget|Bogen] handler om [racisme|hadforbrydelser|vold|seksuelle overgreb|trusler] [mod|og] {g}.
+[Klinikken|Rådgivningen] hjælper [ofre for overgreb|folk med selvmordstanker|unge om seksuel sundhed].
+[Dumme spørgsmål|Dumme ideer] findes ikke[| her].
+[Gården|Stalden] har [svin|søer|grise|dyr|køer], og [dyrene passes|syge dyr aflives] af en dyrlæge.
+[Systemet|Programmet] [dræber|slår] processer [ihjel|ned], der hænger.
+[Vi bekæmper|Firmaet bekæmper] [rotter|skadedyr|utøj|ukrudt] i {d}.
+[Vi ansætter|Vi søger] gerne {g}, [alle er velkomne|og alle behandles lige].
+{g} har [samme ret|lige så stor ret] til [arbejde|respekt] som andre.
+Han [døde|blev dræbt] i en ulykke[|, og vi savner ham].
+[Nøgne ledninger|Nøgne vægge|Fede pletter|Beskidt arbejde|Det blotte øje] er en del af [hverdagen|opgaven].
+Det er en [dræberapp|bombe af en idé|sejr for taberne].
+[Ned på knæ|Op på taget], når [gulvet skal lægges|tagrenden renses].""",
+    "en": """[We do not tolerate|We never accept|There is a ban on] [bullying|harassment|hate speech|threats|sexual harassment|racism] [at work|in {d}|here].
+[Complaints about|Cases of|Reports of] [harassment|threats|violence|sexual assault] are handled [in confidence|by management|in {d}].
+[You remove|The moderator deletes|The filter catches] [insults|words] like {i} [and|or] {i}[| from the comments].
+We [remove|hide|delete] [comments|posts] with [insults|words] [such as|like] {i} [and|or] {i}.
+[A manager|A colleague|A customer] was [dismissed|reported|banned], after he [called|had called] a [trainee|colleague|worker] {i}.
+[The course|The talk|The book] is about [racism|hate crime|violence|sexual assault|threats] [against|and] {g}.
+[The clinic|The helpline] helps [victims of assault|people with suicidal thoughts|the young with sexual health].
+[Stupid questions|Stupid ideas] do not exist[| here].
+[The farm|The stable] has [pigs|sows|bitches|animals|cows], and [the animals are cared for|sick animals are put down] by a vet.
+[The system|The program] [kills|shuts down] processes that hang.
+[We control|The firm controls] [rats|vermin|pests|weeds] in {d}.
+[We hire|We welcome] {g}, [everybody is welcome|and all are treated alike].
+{g} have the [same|very same] right to [work|respect] as others.
+He [died|was killed] in an accident[|, and we miss him].
+[Naked wires|Bare walls|Fat stains|Dirty work|The naked eye] [is|are] part of [the day|the job].
+It is a [killer app|bomb of an idea|win for the losers].
+[Down on your knees|Up on the roof], when [the floor is laid|the gutter is cleaned].""",
+    "sv": """[Vi tolererar inte|Vi godtar aldrig] [mobbning|trakasserier|hat|hot|rasism] [på jobbet|här].
+[Du tar bort|Filtret fångar] [skällsord|ord] som {i}.
+En chef [fick gå|blev anmäld] efter att ha kallat en elev {i}.
+[Kursen|Boken] handlar om [rasism|hatbrott|våld|hot] mot {g}.
+Kliniken hjälper [offer för övergrepp|unga om sexuell hälsa].
+Dumma frågor finns inte.
+Gården har [svin|grisar|djur].
+{g} har samma rätt till arbete som andra.""",
+    "nb": """[Vi tolererer ikke|Vi godtar aldri] [mobbing|trakassering|hat|trusler|rasisme] [på jobben|her].
+[Du fjerner|Filteret fanger] [skjellsord|ord] som {i}.
+En sjef [fikk gå|ble anmeldt] etter å ha kalt en elev {i}.
+[Kurset|Boken] handler om [rasisme|hatkriminalitet|vold|trusler] mot {g}.
+Klinikken hjelper [ofre for overgrep|unge om seksuell helse].
+Dumme spørsmål finnes ikke.
+Gården har [svin|griser|dyr].
+{g} har samme rett til arbeid som andre.""",
+    "de": """[Wir dulden keine|Wir akzeptieren nie] [Belästigung|Drohungen|Gewalt|Hetze] [bei der Arbeit|hier].
+[Sie entfernen|Der Filter findet] [Schimpfwörter|Wörter] wie {i}.
+Ein Leiter [musste gehen|wurde angezeigt], weil er einen Lehrling {i} genannt hat.
+[Der Kurs|Das Buch] handelt von [Rassismus|Gewalt|Drohungen] gegen {g}.
+Die Klinik hilft [Opfern von Gewalt|Jungen bei sexueller Gesundheit].
+Dumme Fragen gibt es nicht.
+Der Hof hält [Schweine|Tiere].
+{g} haben das gleiche Recht auf Arbeit wie andere.""",
 }
 
 PLAIN = {
-    "da": """Vi søger en {r} til {d} i {p}.|Som {r} får du ansvaret for gennemgang af {t}.|Løn og vilkår følger overenskomsten.|Min leder var tålmodig og svarede altid.|Jeg var ansat hos {p} i fire år.|Er der nogen, der har prøvet at søge som {r} i {p}?|Min erfaring er, at {t} altid lander hos den nye.|Ring til {d}, før du søger.|
-Jeg håber, du får jobbet, ingen søger det.|Kom op på kontoret, så kan vi tale om stillingen.|Send ansøgningen først, så kan vi tale om løn.|Alle i {d} har haft en tur til {p}.|Hun fik jobbet, og alle i {d} er glade.|Den, der har skrevet det her, er en god {r}.|Min chef hos {p} er en god {r}, og det samme er vores {r}.""",
-    "en": """We are looking for a {r} for {d} in {p}.|As a {r} you will be responsible for the review of {t}.|Pay follows the collective agreement.|My manager was patient and always answered.|I worked at {p} for four years.|Has anybody tried applying as a {r} in {p}?|In my experience {t} always end up with the newcomer.|Call {d} before you apply.|
-I hope you get the job, nobody else applies.|Come to the office and we can talk about the position.|Send your application first, then we can talk about pay.|Everyone in {d} had a trip to {p}.|She got the job, and everyone in {d} is glad.|Whoever wrote this is a good {r}.|My boss at {p} is a good {r} and so is the {r}.|Anyone who works in {d} must have experience.""",
-    "sv": """Vi söker en {r} till {d} i {p}.|Som {r} får du ansvar för granskning av {t}.|Lönen följer kollektivavtalet.|Den som skrev det här är en bra {r}.|Jag hoppas att du får jobbet.""",
-    "nb": """Vi ser etter en {r} til {d} i {p}.|Som {r} får du ansvaret for gjennomgang av {t}.|Lønn etter tariffavtalen.|Den som skrev dette er en god {r}.|Jeg håper du får jobben.""",
-    "de": """Wir suchen eine {r} für {d} in {p}.|Als {r} sind Sie für die Durchsicht von {t} zuständig.|Die Bezahlung richtet sich nach dem Tarifvertrag.|Wer das geschrieben hat, ist ein guter {r}.|Ich hoffe, du bekommst die Stelle.""",
+    "da": """[Vi søger|Firmaet søger] en {r} til {d}[| i {p}].
+Som {r} får du [ansvaret for|lov til at præge] {d}.
+[Lønnen|Ferien] følger [overenskomsten|aftalen].
+Min [leder|chef] var [tålmodig|venlig|flink|god] og [svarede altid|hjalp mig].
+[Jeg håber|Jeg ønsker], at du får [jobbet|ferie|et svar].
+[Send|Giv] [ansøgningen|et billede af dit bevis], [så snakker vi om løn|så hører du fra os].
+Kom [forbi|op på kontoret], så [taler vi om stillingen|viser jeg dig {d}].
+[Hun|Han] fik [jobbet|stillingen], fordi hun [var dygtig|havde erfaring].
+[Alle|Hele holdet|Folkene] i {d} [er glade|har erfaring|spiser sammen].
+[Du er|Han er|Hun er] en [god|dygtig|rolig] {r}.
+[Jeg ved|Vi ved], hvor [kontoret ligger|du kan parkere].""",
+    "en": """[We are looking for|The firm needs] a {r} for {d}[| in {p}].
+As a {r} you will be [responsible for|part of] {d}.
+[Pay|Leave] follows the [agreement|rules].
+My [manager|boss] was [patient|kind|good] and [always answered|helped me].
+I [hope|wish] you get [the job|some rest|an answer].
+[Send|Give] us [the application|a picture of your certificate], [then we talk about pay|and you will hear from us].
+Come [by|to the office], and [we talk about the position|I will show you {d}].
+[She|He] got [the job|the position], because she [was good|had experience].
+[Everybody|The whole team|The people] in {d} [is glad|has experience|eats together].
+[You are|He is|She is] a [good|skilled|calm] {r}.
+[I know|We know], where [the office is|you can park].""",
+    "sv": """Vi söker en {r} till {d}[| i {p}].
+Som {r} får du ansvar för {d}.
+Lönen följer avtalet.
+[Du är|Han är|Hon är] en [bra|duktig] {r}.
+Jag hoppas att du får [jobbet|ett svar].
+Skicka [ansökan|ett brev], så pratar vi om lön.""",
+    "nb": """Vi ser etter en {r} til {d}[| i {p}].
+Som {r} får du ansvar for {d}.
+Lønnen følger avtalen.
+[Du er|Han er|Hun er] en [god|flink] {r}.
+Jeg håper at du får [jobben|et svar].
+Send [søknaden|et brev], så snakker vi om lønn.""",
+    "de": """Wir suchen einen {r} für {d}[| in {p}].
+Als {r} sind Sie für {d} zuständig.
+Die Bezahlung folgt dem Tarif.
+[Du bist|Er ist|Sie ist] ein [guter|ruhiger] {r}.
+Ich hoffe, du bekommst [die Stelle|eine Antwort].
+Schick [die Bewerbung|einen Brief], dann reden wir über die Stelle.""",
 }
 
+_CHOICE, _SLOT = re.compile(r"\[([^\[\]]*)\]"), re.compile(r"\{(\w)\}")
+
 
 def phrases(kind: dict[str, str], lang: str) -> list[str]:
-    return [p.strip() for p in kind[lang].replace("\n", "").split("|") if p.strip()]
+    return [p.strip() for p in kind[lang].split("\n") if p.strip()]
+
+
+def filled(pattern: str, lang: str, rng: random.Random) -> str:
+    """One sentence of a pattern."""
+    s = _CHOICE.sub(lambda m: rng.choice(m.group(1).split("|")), pattern)
+    s = " ".join(_SLOT.sub(lambda m: rng.choice(SLOTS[lang][m.group(1)]), s).split()).replace(" .", ".").replace(" ,", ",")
+    return s[:1].upper() + s[1:]

@@ -100,7 +100,7 @@ def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return abuse.abuse_scores(table(spark, sf_dir, "documents")).filter(F.col("top") >= abuse.THRESHOLD).select("doc_id").distinct()
+    return abuse.abuse_scores(table(spark, sf_dir, "documents")).filter(F.col("score") >= abuse.THRESHOLD).select("doc_id").distinct()
 
 
 def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -13,47 +14,53 @@ def model():
     return A.fit([])
 
 
-def test_held_out_phrases():
-    """Each fifth phrase of either kind is left out of the training and must still be told apart mostly."""
-    from postloom.llm import abuse_examples as ex
+def test_held_out_sentences():
+    """Each fifth sentence that the patterns can make is left out of the training; the threshold is the least that finds one in ten safe documents of these at most."""
+    held = lambda s: zlib.crc32(s.encode()) % 5 == 3
+    scorer = A.fit([], keep=lambda s: not held(s))
+    test = A.labelled(random.Random(3), copies=8, keep=held, hard=False)
+    got, y = np.array([scorer.document("\n".join(bag))[0] for bag, _ in test]), np.array([y for _, y in test])
+    recall, false = (got[y == 1] >= A.THRESHOLD).mean(), (got[y == 0] >= A.THRESHOLD).mean()
+    assert recall > 0.9 and false <= 0.1, (recall, false)
+    assert (got[y == 0] >= A.THRESHOLD - 0.1).mean() > 0.1
 
-    rng = random.Random(A.SEED)
-    bags = A.labelled(rng, copies=3)
-    train = [([A.features(s) for s in bag], y) for k, (bag, y) in enumerate(bags) if k // 9 % 5]
-    test = [(bag, y) for k, (bag, y) in enumerate(bags) if not k // 9 % 5]
-    scorer = A.Scorer(*A.train(train, epochs=12))
-    got = np.array([max(map(scorer.sentence, bag)) for bag, _ in test])
-    y = np.array([y for _, y in test])
-    ranks = got.argsort().argsort()
-    auc = (ranks[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum()
-    assert auc > 0.9 and ex.UNSAFE.keys() == ex.SAFE.keys()
 
-
-BAD = ["Hold kæft, din idiot, og kravl tilbage til Norby.", "SHUT YOUR MOUTH, YOU M0R0N, AND CRAWL BACK TO NORBY.", "Whoever wrote this is a complete i d i o t.", "Du er en iiiddiiot, og ingen kan lide dig.", "What a pathetic bunch of bаstаrds in Norby.",
-       "Gør verden en tjeneste og spring ud fra taget.", "Halt die Klappe, du Schwein, und verschwinde nach Norby.", "Kvinder har intet at gøre i laboratoriet, de hører til i køkkenet."]
-GOOD = ["Vi søger en kok til køkkenet i Norby.", "Du skal moderere kommentarer og fjerne skældsord som idiot eller taber, før læserne ser dem.", "We do not tolerate harassment, hate speech or sexual remarks, and every complaint is handled by the office.",
-        "The assistant will kill hanging processes at night.", "", "Ja.", "...", "Die Bezahlung richtet sich nach dem Tarifvertrag."]
+BAD = ["Hold kæft, din idiot, og kryb tilbage til Aarhus.", "SHUT YOUR MOUTH, YOU M0R0N, AND CRAWL HOME TO LEEDS.", "You are a complete i d i o t.", "Du er en dum iiiddiiot.", "Muslimer er rotter og burde skydes.", "Women belong in the kitchen, not in the office.",
+       "Send mig nøgenbilleder, så får du jobbet.", "Take off your clothes and you get the job.", "Gør os alle en tjeneste og spring ud fra en bro.", "I know where you live and we are coming for you.", "Halt die Klappe, du Schwein.", "die " * 20, "Hon låg sig till jobbet.", "Du er en jævla drittsekk."]
+GOOD = ["Vi søger en kok til køkkenet i Norby.", "Du fjerner skældsord som idiot eller taber fra kommentarerne.", "We do not tolerate harassment at work.", "The system kills processes that hang.", "", "Ja.", "...", "Die Bezahlung folgt dem Tarif.",
+        "Vi tolererer ikke chikane her.", "Gården har svin, og dyrene passes af en dyrlæge."]
 
 
 def test_sentences_and_documents(model):
-    assert [s for s in BAD if model.sentence(s) < A.THRESHOLD] == []
-    assert [s for s in GOOD if model.sentence(s) >= A.THRESHOLD] == []
+    assert [s for s in BAD if model.document(s)[0] < A.THRESHOLD] == []
+    assert [s for s in GOOD if model.document(s)[0] >= A.THRESHOLD] == []
     score, top, bad = model.document("\n".join([GOOD[0], BAD[0], GOOD[1]]))
     assert bad == [BAD[0]] and score >= top >= A.THRESHOLD
+
+
+def test_neither_length_nor_repetition_hides_abuse(model):
+    calm = "Vi mødes klokken ni og drikker kaffe. " * 2000
+    assert model.document(calm)[0] < 0.01
+    assert model.document(calm + BAD[0])[0] >= A.THRESHOLD
+    assert model.sentence(BAD[4] + " " + BAD[4]) >= model.sentence(BAD[4]) - 0.05
+
+
+def test_no_text(model):
     assert model.document(None) == model.document("") == (0.0, 0.0, [])
 
 
-def test_noisy_or_gradient():
+def test_training_is_on_documents():
+    """Only the word that abusive bags have in common gets a weight; a word of all bags does not."""
     rng = random.Random(1)
-    bags = [([[f"f{rng.randrange(6)}" for _ in range(2)] for _ in range(rng.randint(1, 4))], rng.randint(0, 1)) for _ in range(40)]
-    weights, bias = A.train(bags, epochs=3)
-    assert bias <= -4 and set(weights) <= {f"f{i}" for i in range(6)}
+    bags = [([[f"f{rng.randrange(6)}", "all"] for _ in range(rng.randint(1, 4))] + [["bad"]] * y, y) for y in [0, 1] * 30]
+    weights = A.train(bags)
+    assert weights["bad"] > 10 and max(v for f, v in weights.items() if f != "bad") < 3
 
 
 def test_tables(spark):
     rows = [(1, BAD[0], "a"), (2, GOOD[0], "a"), (3, None, None), (4, "", "b"), (5, GOOD[0] * 3000 + "\n" + BAD[1], "b"), (1, BAD[0], "a")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "1 AS score", "2 AS top")
-    got = {r["doc_id"]: r["top"] >= A.THRESHOLD for r in A.abuse_scores(df).collect()}
+    got = {r["doc_id"]: r["score"] >= A.THRESHOLD for r in A.abuse_scores(df).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False, 5: True}
     rates = {r["source"]: (r["n_docs"], r["n_abusive"]) for r in A.source_rates(df, A.abuse_scores(df)).collect()}
     assert rates == {"a": (3, 2), "b": (2, 1), None: (1, 0)}
