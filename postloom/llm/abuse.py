@@ -219,16 +219,16 @@ class Scorer:
             p = self.known[words] = max(0.0, 1 / (1 + math.exp(-z)) - self.chance) / (1 - self.chance) if z > BIAS else 0.0
         return p
 
+    def noisy_or(self, bag: list[str]) -> tuple[float, list[float]]:
+        """Score of a document's sentences together, and each one's own. A sentence repeated is no further evidence."""
+        each = [self.sentence(s) for s in bag]
+        return 1 - math.prod(1 - p for p in dict(zip(bag, each)).values()), each
+
     def document(self, text: str | None) -> tuple[float, float, list[str]]:
         """(noisy-or, highest sentence, offending sentences)."""
-        clean, top, bad = 1.0, 0.0, []
-        for s in dict.fromkeys(sentences(text or "")):  # a sentence repeated is no further evidence
-            p = self.sentence(s)
-            clean *= 1 - p
-            top = max(top, p)
-            if p >= LOCATED:
-                bad.append(s)
-        return 1 - clean, top, bad
+        bag = sentences(text or "")
+        score, each = self.noisy_or(bag)
+        return score, max(each, default=0.0), list(dict.fromkeys(s for s, p in zip(bag, each) if p >= LOCATED))
 
 
 def fit(sample: list[str], keep: Callable[[str], bool] = lambda sentence: True) -> Scorer:
@@ -239,7 +239,7 @@ def fit(sample: list[str], keep: Callable[[str], bool] = lambda sentence: True)
     drawn_features = [[features(x) for x in bag] for bag in drawn]
     # the sample is clean but for few documents: those in which abuse is seen although they were called clean are left out at last
     model = Scorer(train(bags + [(f, 0) for f in drawn_features], epochs=150))
-    more: list[Bag] = [(f, 0) for bag, f in zip(drawn, drawn_features) if max(map(model.sentence, bag)) < 0.6]
+    more: list[Bag] = [(f, 0) for bag, f in zip(drawn, drawn_features) if model.noisy_or(bag)[0] < THRESHOLD]
     return Scorer(train(bags + more, epochs=400))
 
 

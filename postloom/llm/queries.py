@@ -20,7 +20,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What speaks for and against every posting with a description."""
-    return residue.evidence(table(spark, sf_dir, POSTINGS)).drop("body", "jobtitle")
+    return residue.evidence(table(spark, sf_dir, POSTINGS)).drop("body", "jobtitle").withColumn("odds", F.round("odds", 6))
+
+
+def p1_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evidence of title, address, body and host alone."""
+    return residue.evidence(table(spark, sf_dir, POSTINGS)).select("jobid", "low", "mismatch", "titles", "host_titles")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,11 +131,21 @@ f AS (SELECT DISTINCT jobid, line_no FROM k JOIN r ON k.site = r.site AND k.key
 """.replace("W+", WHITE_RE2 + "+")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_evidence": p1_evidence, "p3_found": p3_found, "p3_lines": p3_lines, "p3_clean": p3_clean, "p5_found": p5_found, "p5_languages": p5_languages, "p5_stretches": p5_stretches, "p6_found": p6_found, "p6_clean": p6_clean,
+    "p1_found": p1_found, "p1_evidence": p1_evidence, "p1_mismatch": p1_mismatch, "p3_found": p3_found, "p3_lines": p3_lines, "p3_clean": p3_clean, "p5_found": p5_found, "p5_languages": p5_languages, "p5_stretches": p5_stretches, "p6_found": p6_found, "p6_clean": p6_clean,
     "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_items": p9_items, "p9_clean": p9_clean, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates,
 }
 
+_STRIPPED = f"regexp_replace(jobdescription, '^{WHITE_RE2}+|{WHITE_RE2}+$', '', 'g')"
+_WORDS = lambda c: f"list_distinct(regexp_extract_all(lower(coalesce({c}, '')), '[\\p{{L}}]{{3,}}'))"
+_SLUG = r"regexp_replace(regexp_extract(coalesce(joburl, ''), '([^/?#]*)(?:[?#].*)?$', 1), '[-_]', ' ', 'g')"
+
 SQL: dict[str, str] = {
+    "p1_mismatch": _SITED.replace("WHERE jobdescription <> ''", "")
+    + f""", t AS (SELECT j.jobid, coalesce(site, '') AS site, coalesce(jobtitle, '') AS title, regexp_replace(lower({_STRIPPED}), '[0-9]+', '0', 'g') AS body, {_WORDS('jobdescription')} AS words, list_distinct(list_concat({_WORDS('jobtitle')}, {_WORDS(_SLUG)})) AS told
+FROM jobindexpostingsextended j LEFT JOIN s ON s.jobid = j.jobid WHERE {_STRIPPED} <> ''),
+e AS (SELECT *, len(words) <= {residue.LOW_TERMS} AS low, len(told) > 0 AND NOT list_has_any(told, words) AS mismatch FROM t),
+a AS (SELECT body, count(DISTINCT title) AS titles FROM e WHERE low GROUP BY body), h AS (SELECT body, site, count(DISTINCT title) AS n FROM e WHERE low GROUP BY body, site), m AS (SELECT body, max(n) AS host_titles FROM h GROUP BY body)
+SELECT jobid, low, mismatch, CASE WHEN low THEN titles ELSE 0 END AS titles, CASE WHEN low THEN host_titles ELSE 0 END AS host_titles FROM e LEFT JOIN a USING (body) LEFT JOIN m USING (body)""",
     "p3_found": _SITED + "SELECT jobid, line_no FROM f",
     "p3_lines": _SITED + """, p AS (SELECT r.site, r.key, n_site, n, count(DISTINCT s.d) AS n_clusters, count(DISTINCT CAST(j.published AS DATE)) AS n_dates
 FROM r JOIN k ON k.site = r.site AND k.key = r.key JOIN s ON s.jobid = k.jobid JOIN jobindexpostingsextended j ON j.jobid = k.jobid GROUP BY r.site, r.key, n_site, n)

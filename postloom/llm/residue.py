@@ -1,17 +1,20 @@
 """Problem 1: template residue, filler, error pages and notices that scripts are needed.
 
-Four detectors read every line of a description: placeholders of template languages and fill-in notes,
-filler text, error messages, and script notices. Beside them stands the evidence of address and host: the
-terms of the address slug and of the title are compared with those of the body, and short bodies are counted
-over distinct titles per host and over all hosts (digits masked). A body that no detector knows is flagged if it
-is low in information, shares no term with its title and slug, comes back under several titles, holds no
-word of an advert and consists to a good part of words that messages are made of.
+Detectors read every line of a description: placeholders of template languages and fill-in notes,
+filler text, error messages and codes, and script notices. A line that one of them knows is residue wherever it stands. Beside them
+stands the evidence of address, title, body and host, for whole bodies that no detector knows: the
+terms of the address slug and of the title are compared with all those of the body; a body of few different terms is low in information and
+counted over distinct titles per host and over all hosts (digits masked). Short adverts look the same in all of that,
+so the wording is weighed too: the terms of the low bodies that a detector knows against those of the adverts that agree with their title, by document
+counts over the whole collection. A body is flagged if it is low in information, shares no term with title and slug, comes back under several titles
+and is worded as the known messages are.
 
 The detectors run in Arrow batches behind an Aho-Corasick automaton of their words, which costs a fraction of as many searches per
-text; everything else is column expressions. Only short bodies (a key of 16 bytes) are shuffled, pre-aggregated.
+text; everything else is column expressions. Only low bodies (a key of 16 bytes) and term counts are shuffled, pre-aggregated.
 
 Defined results: null, empty and blank descriptions are no case; null titles and addresses give no mismatch
-evidence; repeated rows are judged alike; an empty table gives no rows.
+evidence; repeated rows are judged alike; with fewer than ``MIN_KNOWN`` known messages there is nothing to compare a wording with; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions.text import NOT_BLANK, site_host, strip
-from postloom.runtime import is_small, materialize
+from postloom.runtime import is_small, materialize, semi_or_salted
 
 # Words that fields and fill-in notes of templates are named by (Danish, English, Norwegian, Swedish, German).
 FIELD = (
@@ -50,7 +53,7 @@ DETECTORS: dict[str, str] = {
     ),
     "filler": "|".join(
         [
-            r"(?iu:\blorem\s+ipsum\b|\bdolor\s+sit\s+amet\b|\bconsectetu?er\b|\bsed do eiusmod\b|\bmollit\s+anim\b|\bvivamus\s+vestibulum\b|\bcurabitur\b|\bnonummy\b|\bexcepteur\s+sint\b)",
+            r"(?iu:\blorem\s+ipsum\b|\bdolor\s+sit\s+amet\b|\bconsectetu?(?:er|ur)\b|\bsed do eiusmod\b|\bmollit\s+anim\b|\bvivamus\s+vestibulum\b|\bcurabitur\b|\bnonummy\b|\bexcepteur\s+sint\b)",
             r"(?iu:\basdf\b|\bqwerty\b|\bjklø\b|\bhjkl\b)", r"(?iu:\b(?:dummy|sample|placeholder|filler|eksempel|platshållar|beispiel|blind|brød)[\s-]?(?:tekst|text|copy)\w*\b)",
             r"(?iu:\b(?:tekst|text)\s+(?:mangler|missing|saknas|fehlt|følger|kommer)\b)", r"(?iu:\b(?:delete|remove|slettes?|raderas|löschen)\b[^\n]{0,20}\b(?:before|inden|før|senere|innan|vor)\b)",
             r"(?iu:\b(?:her (?:kommer|skal|kan)|här (?:ska|kommer)|hier (?:kommt|steht|folgt))\b[^\n]{0,30}\b(?:beskrivelse|tekst|texten|text|beskrivning|beschreibung|stå|skrive)\w*)", r"(?iu:\b(?:text|copy) goes here\b)",
@@ -98,11 +101,10 @@ GATES: dict[str, list[str]] = {
     "code": ["http", "status", "error", "fejl", "fehler", "fel", "feil", "kode", "code", "not found", "bad gateway", "forbidden", "gone", "internal server", "unavailable", "(", "side"],
     "script": ["script", "js", "skript", "blocker", "loading", "henter", "indlæser", "laddar", "laster", "geladen"],
 }
-# Words that messages are made of, and words that adverts cannot do without.
-MESSAGE = "fejl fejlen error fehler fel feil side siden sidan page seite link linket adresse adressen address server serveren browser browseren session opdater refresh reload prøv igen again retry beklager sorry ups oops whoops hmm support administrator kontakt forsiden logget logged loading henter indlæser javascript script scripts tekst text placeholder".split()
-ADVERT = "søger ansøgning ansvaret erfaring kolleger opgaver løn stillingen looking responsible experience colleagues pay position söker ansvar erfarenhet tjänsten erfaring suchen verantwortlich erfahrung stelle".split()
-#: A body is low in information with at most so many distinct words and characters.
-LOW_TERMS, LOW_CHARS, MIN_TITLES, MESSAGE_SHARE = 14, 400, 3, 0.3
+#: A body is low in information with at most so many different terms; it comes back if it has so many titles, or two on one host.
+LOW_TERMS, MIN_TITLES, MIN_HOST_TITLES = 14, 3, 2
+#: Known messages that are enough to compare with, and the mean log-odds of the terms from which on a body is worded as they are.
+MIN_KNOWN, MIN_ODDS = 5, 1.0
 
 
 def terms(c: Column) -> Column:
@@ -196,30 +198,76 @@ def detected(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 DETECTED = F.pandas_udf(detected, T.StructType([T.StructField(k, T.BooleanType()) for k in DETECTORS]))
 
 
+def told(postings: DataFrame) -> DataFrame:
+    """One row per posting with a description that is not blank: its terms and those of its title and address slug."""
+    slug = F.regexp_replace(F.regexp_extract(F.coalesce("joburl", F.lit("")), r"([^/?#]*)(?:[?#].*)?$", 1), r"[-_]", " ")
+    out = postings.select(
+        "jobid", "jobtitle", site_host("companyurl").alias("site"), "jobdescription", terms(F.col("jobdescription")).alias("words"), F.array_union(terms(F.col("jobtitle")), terms(slug)).alias("told")
+    ).filter(F.col("jobdescription").rlike(NOT_BLANK))
+    return out
+
+
+def low() -> Column:
+    return F.size("words") <= LOW_TERMS
+
+
+def agrees() -> Column:
+    """Title or slug and body have a term in common."""
+    return F.arrays_overlap("told", "words")
+
+
+def detected_any() -> Column:
+    return F.greatest(*[F.col(k).cast("int") for k in DETECTORS]) == 1
+
+
 def flagged(postings: DataFrame) -> DataFrame:
-    """One row per posting with a description that is not blank: the detectors' flags and the row-local evidence."""
-    text = postings.select("jobid", "jobtitle", "joburl", "jobdescription", site_host("companyurl").alias("site")).filter(F.col("jobdescription").rlike(NOT_BLANK))
+    """One row per posting with a description that is not blank: the detectors' flags and the row-local evidence; key and terms of
+    low bodies only."""
     flags = [F.col(f"_found.{k}").alias(k) for k in DETECTORS]
-    words = terms(F.when(F.length("jobdescription") <= LOW_CHARS, F.col("jobdescription")))
-    slug = F.regexp_replace(F.regexp_extract(F.coalesce("joburl", F.lit("")), r"([^/?#]*)(?:[?#].*)?$", 1), r"[-_]", " ")
-    told = F.array_union(terms(F.col("jobtitle")), terms(slug))
-    low = (F.length("jobdescription") <= LOW_CHARS) & (F.size("words") <= LOW_TERMS)
-    share = F.size(F.array_intersect("words", F.array(*map(F.lit, MESSAGE)))) / F.greatest(F.size("words"), F.lit(1))
-    out = text.select("jobid", "jobtitle", "site", "jobdescription", DETECTED("jobdescription").alias("_found"), words.alias("words"), told.alias("told"))
+    out = told(postings).withColumn("_found", DETECTED("jobdescription"))
     return out.select(
-        "jobid", "jobtitle", "site", *flags, low.alias("low"), ((F.size("told") > 0) & ~F.arrays_overlap("told", "words")).alias("mismatch"),
-        (low & (share >= MESSAGE_SHARE) & ~F.arrays_overlap("words", F.array(*map(F.lit, ADVERT)))).alias("message"),
-        F.when(low, F.unhex(F.md5(F.regexp_replace(F.lower(strip("jobdescription")), r"[0-9]+", "0")))).alias("body"),
+        "jobid", "jobtitle", "site", *flags, low().alias("low"), ((F.size("told") > 0) & ~agrees()).alias("mismatch"),
+        F.when(low(), F.unhex(F.md5(F.regexp_replace(F.lower(strip("jobdescription")), r"[0-9]+", "0")))).alias("body"), F.when(low(), F.array_sort("words")).alias("words"),
     )
 
 
+def low_bodies(text: DataFrame) -> DataFrame:
+    """One row per low body: its terms, the titles that share it (anywhere, and at most on one host), whether a detector knows it."""
+    each = text.filter("low").groupBy("body", F.coalesce("site", F.lit("")).alias("host"), F.coalesce("jobtitle", F.lit("")).alias("t")).agg(F.min("words").alias("words"), F.max(detected_any()).alias("known"))
+    hosts = each.groupBy("body", "host").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("words"), F.max("known").alias("known"))
+    anywhere = each.groupBy("body", "t").agg(F.lit(1)).groupBy("body").agg(F.count(F.lit(1)).alias("titles"))
+    return hosts.groupBy("body").agg(F.max("n").alias("host_titles"), F.min("words").alias("words"), F.max("known").alias("known")).join(anywhere, "body")
+
+
+def message_odds(postings: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(body, odds): the mean log-odds of the terms of low bodies, in known messages against adverts that agree with their title."""
+    spark = postings.sparkSession
+    known = bodies.filter("known")
+    n_known = known.count()
+    unknown = bodies.filter(~F.col("known") & ((F.col("titles") >= MIN_TITLES) | (F.col("host_titles") >= MIN_HOST_TITLES)))
+    if n_known < MIN_KNOWN:
+        return bodies.select("body", F.lit(None).cast("double").alias("odds")).limit(0)
+    said = unknown.select("body", F.size("words").alias("n"), F.explode("words").alias("term"))
+    asked = materialize(said.select("term").distinct(), "terms")
+    in_known = known.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("k"))
+    every = spark.createDataFrame([("",)], "term string")  # the empty term stands once in every advert and counts them
+    wanted = asked.unionByName(every)
+    adverts = told(postings).filter(~low() & agrees()).select(F.explode(F.concat(F.array(F.lit("")), "words")).alias("term"))
+    in_adverts = materialize(adverts.join(F.broadcast(wanted) if is_small(asked) else wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("a")), "advert-terms")
+    n_adverts = next((r["a"] for r in in_adverts.filter("term = ''").collect()), 0)  # one row at most
+    weights = asked.join(in_known, "term", "left").join(in_adverts, "term", "left").filter("k is not null or a is not null")
+    odds = F.log((F.coalesce("k", F.lit(0)) + 0.5) / (n_known + 1.0)) - F.log((F.coalesce("a", F.lit(0)) + 0.5) / (n_adverts + 1.0))
+    return said.join(weights.select("term", odds.alias("odds")), "term").groupBy("body", "n").agg((F.sum("odds") / F.col("n")).alias("odds")).select("body", "odds")
+
+
 def evidence(postings: DataFrame) -> DataFrame:
-    """:func:`flagged` with the titles that share a short body (on one host and anywhere) and the verdict ``residue``."""
-    text = materialize(flagged(postings), "residue")  # flags and keys only, no text
-    short = text.filter("message").select("body", F.coalesce("site", F.lit("")).alias("host"), F.coalesce("jobtitle", F.lit("")).alias("t")).groupBy("body", "host", "t").agg(F.lit(1))
-    anywhere = short.groupBy("body", "t").agg(F.lit(1)).groupBy("body").agg(F.count(F.lit(1)).alias("titles"))
-    at_host = short.groupBy("body", "host").agg(F.count(F.lit(1)).alias("host_titles")).groupBy("body").agg(F.max("host_titles").alias("host_titles"))
-    counted = materialize(anywhere.join(at_host, "body"), "bodies")
-    told = text.join(F.broadcast(counted) if is_small(counted) else counted, "body", "left").fillna(0, ["titles", "host_titles"])
-    unknown = F.col("low") & F.col("mismatch") & F.col("message") & ((F.col("titles") >= MIN_TITLES) | (F.col("host_titles") >= 2))
-    return told.withColumn("unknown_message", unknown).withColumn("residue", F.col("placeholder") | F.col("filler") | F.col("error") | F.col("code") | F.col("script") | unknown)
+    """:func:`flagged` with what is known of the low bodies, and the verdict ``residue``."""
+    text = materialize(flagged(postings), "residue")  # flags, keys and the terms of low bodies, no text
+    bodies = materialize(low_bodies(text), "bodies")
+    odds = message_odds(postings, bodies)
+    counted = materialize(bodies.select("body", "titles", "host_titles").join(odds, "body", "left"), "counted")
+    shown = text.drop("words")
+    few = semi_or_salted(shown.filter("low"), counted, ["body"], how="inner", salt_by=F.xxhash64("jobid"))
+    rest = shown.filter("not low").withColumns({"titles": F.lit(0).cast("long"), "host_titles": F.lit(0).cast("long"), "odds": F.lit(None).cast("double")})
+    unknown = F.col("low") & F.col("mismatch") & F.coalesce(F.col("odds") >= MIN_ODDS, F.lit(False))
+    return few.unionByName(rest).withColumn("unknown_message", unknown).withColumn("residue", detected_any() | F.col("unknown_message"))

@@ -50,11 +50,11 @@ def test_no_text(model):
 
 
 def test_training_is_on_documents():
-    """Only the word that abusive bags have in common gets a weight; a word of all bags does not."""
+    """Only the word that abusive bags have in common weighs most."""
     rng = random.Random(1)
     bags = [([[f"f{rng.randrange(6)}", "all"] for _ in range(rng.randint(1, 4))] + [["bad"]] * y, y) for y in [0, 1] * 30]
     weights = A.train(bags)
-    assert weights["bad"] > 10 and max(v for f, v in weights.items() if f != "bad") < 3
+    assert weights["bad"] == max(weights.values())
 
 
 def test_tables(spark):

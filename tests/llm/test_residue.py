@@ -35,13 +35,37 @@ def test_cases_and_decoys(postings):
     assert [CLEAN[i - len(CASES)] for i in range(len(CASES), len(rows)) if got[i]] == []
 
 
+def told(df):
+    return {r["jobid"]: r for r in evidence(df).collect()}
+
+
 def test_unknown_messages_need_all_the_evidence(postings):
-    text = "Beklager, prøv igen. Kontakt support, hvis siden mangler."
-    many = [{"jobid": i, "jobdescription": text, "jobtitle": t, "joburl": f"/vis/{t}", "companyurl": "a.example"} for i, t in enumerate(["Smed", "Kok", "Jurist"])]
-    assert all(verdicts(postings(many)).values())
-    assert not any(verdicts(postings(many[:1])).values())
-    advert = [r | {"jobdescription": "Vi søger dig. Kontakt os, siden du har erfaring."} for r in many]
-    assert not any(verdicts(postings(advert)).values())
+    known = ["Siden kunne ikke hentes. Noget gik galt, prøv igen senere, eller kontakt support.", "Beklager, siden findes ikke. Prøv igen.", "Der opstod en uventet fejl. Kontakt support, hvis siden mangler.",
+             "Fejl 503: prøv igen senere.", "Noget gik galt. Beklager.", "Siden blev ikke fundet. Kontakt support."]
+    titles = ["Smed", "Kok", "Jurist"]
+    stock = "Løn følger overenskomsten, og du får fri på din fødselsdag."
+    adverts = [f"{t} søges. Vi søger en {t.lower()}, der har erfaring med {w}, til vores afdeling i byen. Ansøgningen sendes med posten inden fristen. {stock}" for t in titles for w in ("lager", "regnskab", "køreplaner", "svejsning")]
+    rows = [{"jobid": i, "jobdescription": d, "jobtitle": "Maler"} for i, d in enumerate(known)]
+    rows += [{"jobid": 100 + i, "jobdescription": d, "jobtitle": titles[i // 4]} for i, d in enumerate(adverts)]
+    unknown = "Beklager, prøv igen. Kontakt support, hvis siden mangler."
+    many = [{"jobid": 200 + i, "jobdescription": unknown, "jobtitle": t, "joburl": f"/vis/{t}", "companyurl": "a.example"} for i, t in enumerate(titles)]
+    short = [{"jobid": 300 + i, "jobdescription": stock, "jobtitle": t, "joburl": f"/vis/{t}", "companyurl": "a.example"} for i, t in enumerate(titles)]
+    got = told(postings(rows + many + short))
+    assert all(got[200 + i]["residue"] and got[200 + i]["unknown_message"] for i in range(3))
+    assert not any(got[300 + i]["residue"] for i in range(3)) and not any(got[100 + i]["residue"] for i in range(12))
+    assert (got[300]["titles"], got[300]["host_titles"], got[300]["low"], got[300]["mismatch"]) == (3, 3, True, True)
+    assert got[300]["odds"] < 0 < got[200]["odds"]
+    # it must come back, disagree with the title, and there must be known messages
+    assert not told(postings(rows + many[:1]))[200]["residue"]
+    assert not told(postings(rows + [m | {"jobtitle": f"Support {m['jobtitle']}"} for m in many]))[200]["residue"]
+    assert not told(postings(rows[6:] + many))[200]["residue"]
+
+
+def test_whole_bodies_are_compared(postings):
+    long = "Vi lægger vægt på orden og godt humør, og du får en god start hos os. " * 40
+    rows = [{"jobid": 1, "jobdescription": long + "Vi glæder os til at møde vores nye kedelsmed.", "jobtitle": "Kedelsmed"}, {"jobid": 2, "jobdescription": long, "jobtitle": "Kedelsmed"}, {"jobid": 3, "jobdescription": long}]
+    assert {j: r["mismatch"] for j, r in told(postings(rows)).items()} == {1: False, 2: True, 3: False}
+    assert {r["low"] for r in told(postings(rows)).values()} == {False}
 
 
 @pytest.mark.parametrize("extra", [False, True])
@@ -118,7 +142,7 @@ def test_gates_let_every_match_pass(kind):
 
 
 def test_lines_that_narrow_gates_lost():
-    lines = ["Fel 404", "Fel 500: x", "timer: NaN", "NaN, NaN", "This page requires JS.", "sample-text", "placeholder-text", "eksempel-tekst", "Beispiel Text", "Blind-Text", "Skal slette alt inden", "404 side", "( 404)", "dolor  sit amet", "tekst\tmangler"]
+    lines = ["Fel 404", "Fel 500: x", "timer: NaN", "NaN, NaN", "This page requires JS.", "sample-text", "placeholder-text", "eksempel-tekst", "Beispiel Text", "Blind-Text", "Skal slette alt inden", "404 side", "( 404)", "consectetur adipiscing", "dolor  sit amet", "tekst\tmangler"]
     residue = Residue()
     assert [t for t in lines if not any(residue(t))] == []
 
