@@ -173,10 +173,10 @@ def repeats(low: str) -> bool:
 
 
 class ResidueLines(Residue):
-    """Whether a line is filler, an error message or a script notice."""
+    """Whether a line is residue of one of the kinds (all but placeholders, if none are given)."""
 
-    def __init__(self) -> None:
-        super().__init__(("filler", "error", "code", "script"))
+    def __init__(self, kinds: tuple[str, ...] = ("filler", "error", "code", "script")) -> None:
+        super().__init__(kinds)
         self.lines: dict[str, bool] = {}
 
     def __call__(self, line: str) -> bool:  # type: ignore[override]

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions.text import site_host
 from postloom.llm.furniture import Roles, items_of
+from postloom.llm.residue import DETECTORS, ResidueLines
 from postloom.runtime import is_small, materialize, semi_or_salted
 
 SHARD, MIN_VOTES = 400, 2
@@ -52,14 +53,17 @@ ABOVE, BELOW = (0.04, 0.001), (0.3, 0.01)
 #: From which score on a node is furniture; up to which distance from 0 words may break the tie; a host's own score that overrules all hosts'.
 DECIDED, SURE, OWN = 1.0, 8.0, 6.0
 
-_SLOT = re.compile(r"\d[\d.,:/\-]*|\S+\.\S{2,}|\b\w\.")
+#: Words from which on a line counts as a whole only: a paragraph whose wording varies is content wherever it begins and ends alike.
+ENDS = 30
+
+_SLOT = re.compile(r"\d[\d.,:/\-]*|(?<!\S)\S+\.\S{2,}|\b\w\.")
 _NAME = re.compile(r"(?<=\s)[A-ZÆØÅÄÖÜ]\w+")
 #: A name at the very beginning, followed by another one.
 _FIRST = re.compile(r"^[A-ZÆØÅÄÖÜ]\w+(?= N\b)")
 #: A label of up to three words, and a value of up to three.
 _LABEL = re.compile(r"((?:[^\W\d_][\w.\-]*)(?: [^\W\d_][\w.\-]*){0,2}):(?= )")
 _VALUE = re.compile(r" ([^\W\d_]+(?: [^\W\d_]+){0,2})$")
-_FOLD = str.maketrans({"æ": "ae", "ø": "oe", "å": "aa", "ä": "ae", "ö": "oe", "ü": "ue"})
+_FOLD = (("æ", "ae"), ("ø", "oe"), ("å", "aa"), ("ä", "ae"), ("ö", "oe"), ("ü", "ue"))
 _TERM = re.compile(r"[^\W\d_]{3,}")
 
 
@@ -67,7 +71,7 @@ class Lines:
     """Leaves and role of a line, remembered (bounded)."""
 
     def __init__(self, limit: int = 300_000):
-        self.roles = Roles(limit)
+        self.roles, self.residue = Roles(limit), ResidueLines(tuple(DETECTORS))
         self.known: dict[str, tuple[str, ...]] = {}
         self.limit = limit
 
@@ -98,7 +102,10 @@ def _leaves(line: str) -> tuple[str, ...]:
     if bare.count(" ") < 3:
         return ("w:" + _SLOT.sub("0", bare).lower(),)
     w = _SLOT.sub("0", _FIRST.sub("N", bare)).lower().split()
-    return ("s:" + hashlib.md5(" ".join(w).encode()).hexdigest()[:16], "l:" + label[1].lower() if label else "b:" + " ".join(w[:3]), "e:" + " ".join(w[-3:]))
+    whole = "s:" + hashlib.md5(" ".join(w).encode()).hexdigest()[:16]
+    if len(w) > ENDS:
+        return (whole,)
+    return (whole, "l:" + label[1].lower() if label else "b:" + " ".join(w[:3]), "e:" + " ".join(w[-3:]))
 
 
 Page = list[tuple[int, tuple[str, ...]]]
@@ -110,18 +117,25 @@ def page(text: str, lines: Lines) -> Page:
 
 
 def terms(s: str | None) -> frozenset[str]:
-    return frozenset(_TERM.findall(s.lower().translate(_FOLD))) if s else frozenset()
+    if not s:
+        return frozenset()
+    s = s.lower()
+    if not s.isascii():
+        for a, b in _FOLD:
+            s = s.replace(a, b)
+    return frozenset(_TERM.findall(s))
 
 
 def own_title(title: frozenset[str], split: Sequence[str], nodes: Page) -> int | None:
     """Place among the nodes of the first line that agrees with the record's title: more than half of their terms are common."""
     if not title:
         return None
-    most = 2 * len(title)  # a line of as many terms agrees on half of them at best
+    most = 4 * len(title) + 8  # a line of more words than that would have more terms than can agree, or mostly none
     for k, (i, leaves) in enumerate(nodes):
-        if leaves[0][0] == "i" or len(split[i - 1]) > 40 * most:
+        line = split[i - 1]
+        if leaves[0][0] == "i" or line.count(" ") > most:
             continue
-        t = terms(split[i - 1])
+        t = terms(line)
         if 2 * len(t & title) > len(t | title):
             return k
     return None
@@ -302,18 +316,16 @@ def furniture_of(title: str | None, text: str, told: dict[str, Told], lines: Lin
     for k, (i, leaves) in enumerate(nodes):
         if k == own:
             listed = False
-        elif any(f in told and told[f][2] for f in leaves):
-            listed = True
-            out.append((i, False))
-        elif listed and any(f in told and told[f][1] for f in leaves):
+            continue
+        head = any(f in told and told[f][2] for f in leaves)
+        listed = head or (listed and any(f in told and told[f][1] for f in leaves))
+        score = SURE if listed else node_score(leaves, told)
+        if score is None or lines.residue(split[i - 1]):
+            continue  # varying, or a finding of problem 1
+        if score >= DECIDED:
             out.append((i, False))
-        else:
-            listed = False
-            score = node_score(leaves, told)
-            if score is not None and score >= DECIDED:
-                out.append((i, False))
-            elif words and score is not None and score > -SURE and lines.roles.furniture(split[i - 1]):
-                out.append((i, True))
+        elif words and score > -SURE and lines.roles.furniture(split[i - 1]):
+            out.append((i, True))
     return out
 
 
