@@ -4,12 +4,11 @@ Only sizes matter for what fits, and there are at most ``capacity`` of them: the
 at most 2 048 rows, which is packed on the driver by bin completion, and the documents then take the places of their
 size. So the packing is global, exact in its counts, and no document or id ever travels to the driver.
 
-Bin completion (branch and bound): take the largest remaining size; enumerate the undominated fillings of the room
-beside it, least waste and largest items first; branch on them; cut a branch whose waste so far already costs
-as many containers as the best solution known, starting from best-fit decreasing as incumbent; stop at the lower
-bound of ceil(total / capacity) containers. With more than ``EXACT_ITEMS`` items the search commits to the best filling
-at each step and uses it as often as the counts allow (a step uses up a size, so there are few); ``NODES`` bounds
-the nodes of each search, and the best solution found by then stands. The result reports the lower bound.
+Bin completion (branch and bound), the same for every number of items: the incumbent is best-fit decreasing over the histogram. A node takes the largest
+remaining size and enumerates the undominated fillings of the room beside it, least waste and largest items first; it branches on
+them, each used as often as the counts allow or once. A branch is cut when its waste so far already costs
+as many containers as the best solution known, and the search stops at the lower bound (Martello and Toth's L2). ``NODES`` bounds
+the nodes and ``VISITS`` the steps of each enumeration; the best solution found by then stands, and :func:`report` gives it beside best-fit and the bound.
 
 A document larger than a container is cut into full containers and a rest, which is packed like any other. The rank of
 a document among those of its size is counted in two steps over parts by hash, so a size that a third of the
@@ -29,9 +28,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.runtime import materialize
+from postloom.runtime import is_small, materialize
 
-CAPACITY, NODES, EXACT_ITEMS, PARTS = 2048, 20_000, 40, 64
+CAPACITY, NODES, VISITS, FILLINGS = 2048, 6_000, 2_000, 64
+#: Rows of a part within which the documents of one size are ranked, and the least number of parts.
+PART_ROWS, PARTS = 200_000, 64
 TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 # Fixed value: how the public byte-level vocabulary cuts text into words before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -98,74 +99,129 @@ def _greedy(counts: dict[int, int], room: int) -> Filling:
 Packing = list[tuple[Filling, int]]
 
 
-def _committed(counts: dict[int, int], capacity: int, nodes: int) -> Packing:
-    """One filling per step, used as often as the counts allow."""
+def least_containers(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Martello and Toth's lower bound L2: for each threshold, items that leave less room than it need a container each, those above half
+    too, and the items between the threshold and half fill what room the latter leave."""
+    sizes = [s for s, n in counts.items() if n > 0]
+    best = -(-sum(s * counts[s] for s in sizes) // capacity)
+    for k in sorted({s for s in sizes if 2 * s <= capacity} | {0}):
+        alone = sum(counts[s] for s in sizes if s > capacity - k)
+        large = [s for s in sizes if s <= capacity - k and 2 * s > capacity]
+        n = sum(counts[s] for s in large)
+        room = n * capacity - sum(s * counts[s] for s in large)
+        rest = sum(s * counts[s] for s in sizes if 2 * s <= capacity and s >= k)
+        best = max(best, alone + n + max(0, -(-(rest - room) // capacity)))
+    return best
+
+
+def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> Packing:
+    """Best-fit decreasing over a histogram: containers of the same filling are handled together."""
+    open_: dict[int, dict[Filling, int]] = {}  # room: filling: containers
+    rooms: list[int] = []
+
+    def put(room: int, filling: Filling, times: int) -> None:
+        if times:
+            if room not in open_:
+                open_[room] = {}
+                bisect.insort(rooms, room)
+            open_[room][filling] = open_[room].get(filling, 0) + times
+
+    for s in sorted((s for s, n in counts.items() if n > 0), reverse=True):
+        left = counts[s]
+        while left:
+            at = bisect.bisect_left(rooms, s)
+            if at == len(rooms):
+                room, filling, times = capacity, (), left
+            else:
+                room = rooms[at]
+                filling, times = open_[room].popitem()
+                if not open_[room]:
+                    del open_[room], rooms[at]
+            each = room // s  # a container is filled before the next one of its room is begun
+            full = min(times, left // each)
+            put(room - each * s, filling + (s,) * each, full)
+            left -= full * each
+            if full < times:
+                some = min(left, each) if left < each else 0
+                if some:
+                    put(room - some * s, filling + (s,) * some, 1)
+                    left -= some
+                if filling:
+                    put(room, filling, times - full - (some > 0))
+    return [(f, n) for of in open_.values() for f, n in of.items()]
+
+
+def n_containers(packing: Packing) -> int:
+    return sum(n for _, n in packing)
+
+
+def pack(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Packing:
+    """(filling, times) of containers that hold all items; every size is between 1 and ``capacity``."""
     left = {s: n for s, n in counts.items() if n > 0}
-    out: Packing = []
-    while left:
+    if not left:
+        return []
+    best = best_fit(left, capacity)
+    fewest, bound = n_containers(best), least_containers(left, capacity)
+    total = sum(s * n for s, n in left.items())
+
+    def branches() -> Iterator[tuple[Filling, int]]:
         top = max(left)
         left[top] -= 1
-        fill = completions(left, capacity - top, 1, nodes)[0]
+        fillings = completions(left, capacity - top, FILLINGS, VISITS)
         left[top] += 1
-        bin_ = (top, *fill)
-        times = min(left[s] // bin_.count(s) for s in set(bin_))
-        for s in set(bin_):
-            left[s] -= times * bin_.count(s)
+        for fill in fillings:
+            filling = (top, *fill)
+            most = min(left[s] // filling.count(s) for s in set(filling))
+            yield filling, most
+            if most > 1:
+                yield filling, 1
+
+    def take(filling: Filling, times: int) -> None:
+        for s in set(filling):
+            left[s] -= times * filling.count(s)
             if not left[s]:
                 del left[s]
-        out.append((bin_, times))
-    return out
-
-
-def _best_fit(counts: dict[int, int], capacity: int) -> list[Filling]:
-    bins: list[tuple[int, list[int]]] = []
-    for s in sorted((s for s, n in counts.items() for _ in range(n)), reverse=True):
-        fits = [(room, i) for i, (room, _) in enumerate(bins) if room >= s]
-        if fits:
-            room, i = min(fits)
-            bins[i] = (room - s, [*bins[i][1], s])
-        else:
-            bins.append((capacity - s, [s]))
-    return [tuple(b) for _, b in bins]
-
-
-def _searched(counts: dict[int, int], capacity: int, nodes: int) -> Packing:
-    """Branch and bound over the containers, for few items."""
-    best = _best_fit(counts, capacity)
-    total = sum(s * n for s, n in counts.items())
-    bound = -(-total // capacity)
-    budget = nodes
 
-    def visit(left: dict[int, int], bins: list[Filling], waste: int) -> None:
-        nonlocal best, budget
-        budget -= 1
+    def give_back(filling: Filling, times: int) -> None:
+        for s in filling:
+            left[s] = left.get(s, 0) + times
+
+    chosen: Packing = []
+    used = waste = 0
+    stack = [branches()]
+    while stack and nodes > 0 and fewest > bound:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+            if chosen:
+                filling, times = chosen.pop()
+                give_back(filling, times)
+                used -= times
+                waste -= times * (capacity - sum(filling))
+            continue
+        nodes -= 1
+        filling, times = step
+        lost = waste + times * (capacity - sum(filling))
+        if -(-(total + lost) // capacity) >= fewest:
+            continue  # the waste so far and what remains need so many containers at least
+        take(filling, times)
+        chosen.append(step)
+        used, waste = used + times, lost
         if not left:
-            if len(bins) < len(best):
-                best = list(bins)
-            return
-        # the waste so far and what remains need so many containers at least
-        if -(-(total + waste) // capacity) >= len(best) or len(best) == bound or budget <= 0:
-            return
-        top = max(left)
-        rest = {s: n - (s == top) for s, n in left.items()}
-        for fill in completions(rest, capacity - top, 10_000, nodes):
-            after = dict(rest)
-            for s in fill:
-                after[s] -= 1
-            visit({s: n for s, n in after.items() if n}, [*bins, (top, *fill)], waste + capacity - top - sum(fill))
-
-    visit(dict(counts), [], 0)
-    return [(b, 1) for b in best]
+            if used < fewest:
+                best, fewest = list(chosen), used
+            chosen.pop()
+            give_back(filling, times)
+            used, waste = used - times, waste - times * (capacity - sum(filling))
+        else:
+            stack.append(branches())
+    return best
 
 
-def pack(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Packing:
-    """(filling, times) of containers that hold all items; every size is between 1 and ``capacity``."""
+def report(counts: dict[int, int], packing: Packing, capacity: int = CAPACITY) -> dict[str, int]:
+    """Containers by best-fit decreasing, by bin completion, and the lower bound."""
     counts = {s: n for s, n in counts.items() if n > 0}
-    if not counts:
-        return []
-    if sum(counts.values()) <= EXACT_ITEMS:
-        return _searched(counts, capacity, nodes)
-    return _committed(counts, capacity, max(200, nodes // 10))
+    return {"best_fit": n_containers(best_fit(counts, capacity)), "bin_completion": n_containers(packing), "least": least_containers(counts, capacity) if counts else 0}
 
 
 def token_counts(documents: DataFrame, tokenizers: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -192,17 +248,24 @@ def pieces(sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def assign(sizes: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
     """(doc_id, piece, start, n_tokens, container) for every piece of every document of ``sizes``."""
+    return assigned(sizes, capacity, nodes)[0]
+
+
+def assigned(sizes: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`assign` with the :func:`report` of the packing."""
     spark = sizes.sparkSession
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)).cast("int")
+    cut = materialize(pieces(sizes, capacity), "pieces")  # ids and sizes
+    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(max(PARTS, -(-cut.count() // PART_ROWS)))).cast("int")
     within = Window.partitionBy("n_tokens", "part").orderBy("doc_id", "piece")
-    ranked = materialize(pieces(sizes, capacity).withColumn("part", part).withColumn("rank", F.row_number().over(within).cast("bigint") - 1), "pieces")
-    cells = ranked.groupBy("n_tokens", "part").agg(F.count(F.lit(1)).alias("n"))  # at most capacity x PARTS rows
+    ranked = materialize(cut.withColumn("part", part).withColumn("rank", F.row_number().over(within).cast("bigint") - 1), "ranked")
+    cells = ranked.groupBy("n_tokens", "part").agg(F.count(F.lit(1)).alias("n"))  # at most capacity x parts rows
     before = Window.partitionBy("n_tokens").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     cells = materialize(cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "cells")
     histogram = {int(r[0]): int(r[1]) for r in cells.filter("n_tokens > 0").groupBy("n_tokens").agg(F.sum("n")).collect()}  # at most capacity rows
+    packing = pack(histogram, capacity, nodes)
     used: dict[int, int] = {}
     rows, base = [], 0
-    for fill, times in pack(histogram, capacity, nodes):
+    for fill, times in packing:
         for s in sorted(set(fill)):
             m = fill.count(s)
             rows.append((s, used.get(s, 0), m * times, times, base))
@@ -225,5 +288,7 @@ def assign(sizes: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Da
                 out.append(first + (r - start) % times)
             yield pd.DataFrame({"doc_id": b["doc_id"], "piece": b["piece"], "start": b["start"], "n_tokens": b["n_tokens"], "container": pd.array(out, "Int64")})
 
-    placed = ranked.join(F.broadcast(cells.select("n_tokens", "part", "before")), ["n_tokens", "part"]).withColumn("place", F.col("rank") + F.col("before"))
-    return placed.select("doc_id", "piece", "start", "n_tokens", "place").mapInPandas(place, "doc_id bigint, piece int, start bigint, n_tokens bigint, container bigint")
+    offsets = cells.select("n_tokens", "part", "before")
+    placed = ranked.join(F.broadcast(offsets) if is_small(offsets) else offsets, ["n_tokens", "part"]).withColumn("place", F.col("rank") + F.col("before"))
+    done = placed.select("doc_id", "piece", "start", "n_tokens", "place").mapInPandas(place, "doc_id bigint, piece int, start bigint, n_tokens bigint, container bigint")
+    return done, report(histogram, packing, capacity)

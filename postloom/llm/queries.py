@@ -78,13 +78,12 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How well the containers are filled, against the lower bound of their number."""
-    placed = packing.assign(packing.token_counts(table(spark, sf_dir, "documents"))).filter("container is not null")
-    bins = placed.groupBy("container").agg(F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("pieces"))
-    total = F.coalesce(F.sum("used"), F.lit(0))
+    """How well the containers are filled: their number, that of best-fit decreasing, and the lower bound."""
+    placed, told = packing.assigned(packing.token_counts(table(spark, sf_dir, "documents")))
+    bins = placed.filter("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("pieces"))
     return bins.agg(
-        F.count(F.lit(1)).alias("n_containers"), F.ceil(total / packing.CAPACITY).alias("least_containers"), total.alias("n_tokens"), F.coalesce(F.sum("pieces"), F.lit(0)).alias("n_pieces"),
-        F.coalesce(F.max("used"), F.lit(0)).alias("fullest"),
+        F.count(F.lit(1)).alias("n_containers"), F.lit(told["best_fit"]).cast("bigint").alias("best_fit"), F.lit(told["least"]).cast("bigint").alias("least_containers"), F.coalesce(F.sum("used"), F.lit(0)).alias("n_tokens"),
+        F.coalesce(F.sum("pieces"), F.lit(0)).alias("n_pieces"), F.coalesce(F.max("used"), F.lit(0)).alias("fullest"),
     )
 
 

@@ -102,18 +102,25 @@ def _leaves(line: str) -> tuple[str, ...]:
     if bare.count(" ") < 3:
         return ("w:" + _SLOT.sub("0", bare).lower(),)
     w = _SLOT.sub("0", _FIRST.sub("N", bare)).lower().split()
-    whole = "s:" + hashlib.md5(" ".join(w).encode()).hexdigest()[:16]
+    whole = f"s:{len(w)}:" + hashlib.md5(" ".join(w).encode()).hexdigest()[:16]
     if len(w) > ENDS:
         return (whole,)
     return (whole, "l:" + label[1].lower() if label else "b:" + " ".join(w[:3]), "e:" + " ".join(w[-3:]))
 
 
 Page = list[tuple[int, tuple[str, ...]]]
+_VARIES = ("s:",)
 
 
-def page(text: str, lines: Lines) -> Page:
-    """(line number, leaves) of the lines that are not blank."""
-    return [(i, lines.leaves(x)) for i, x in enumerate(text.split("\n"), 1) if x and not x.isspace()]
+def page(text: str, lines: Lines, lengths: set[int] | None = None) -> Page:
+    """(line number, leaves) of the lines that are not blank. With the ``lengths`` in words of the template's nodes, paragraphs of
+    other lengths are known to vary and are not looked at further."""
+    out = []
+    for i, x in enumerate(text.split("\n"), 1):
+        if x and not x.isspace():
+            long = lengths is not None and x.count(" ") >= ENDS and (n := len(x.split())) > ENDS and n not in lengths
+            out.append((i, _VARIES if long and "|" not in x and "·" not in x and "•" not in x and "  " not in x and "\t" not in x else lines.leaves(x)))
+    return out
 
 
 def terms(s: str | None) -> frozenset[str]:
@@ -309,9 +316,14 @@ def node_score(leaves: Sequence[str], told: dict[str, Told]) -> float | None:
     return sum(scores) / len(scores)
 
 
-def furniture_of(title: str | None, text: str, told: dict[str, Told], lines: Lines, words: bool = True) -> list[tuple[int, bool]]:
-    """(line number, whether words broke the tie) of the lines of a page that are furniture."""
-    nodes, split = page(text, lines), text.split("\n")
+def lengths_of(leaves: Iterable[str]) -> set[int]:
+    """The lengths in words of the whole wordings among some leaves."""
+    return {int(f.split(":")[1]) for f in leaves if f[0] == "s"}
+
+
+def furniture_of(title: str | None, text: str, told: dict[str, Told], lines: Lines, words: bool = True, lengths: set[int] | None = None) -> list[tuple[int, bool]]:
+    """(line number, whether words broke the tie) of the lines of a page that are furniture. ``lengths``: those of ``told``, if at hand."""
+    nodes, split = page(text, lines, lengths), text.split("\n")
     own, out, listed = own_title(terms(title), split, nodes), [], False
     for k, (i, leaves) in enumerate(nodes):
         if k == own:
@@ -320,12 +332,13 @@ def furniture_of(title: str | None, text: str, told: dict[str, Told], lines: Lin
         head = any(f in told and told[f][2] for f in leaves)
         listed = head or (listed and any(f in told and told[f][1] for f in leaves))
         score = SURE if listed else node_score(leaves, told)
-        if score is None or lines.residue(split[i - 1]):
-            continue  # varying, or a finding of problem 1
-        if score >= DECIDED:
-            out.append((i, False))
-        elif words and score > -SURE and lines.roles.furniture(split[i - 1]):
-            out.append((i, True))
+        if score is None:
+            continue
+        tie = score < DECIDED
+        if tie and not (words and score > -SURE and lines.roles.furniture(split[i - 1])):
+            continue
+        if not lines.residue(split[i - 1]):  # a finding of problem 1 is none here
+            out.append((i, tie))
     return out
 
 
@@ -341,12 +354,13 @@ def furniture_lines(postings: DataFrame, leaves: DataFrame | None = None, words:
 
         def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             every: dict[str, Told] = {f: (s, t, h) for host, f, s, t, h in shipped.value if host is None}
+            lengths = lengths_of(every)
             hosts: dict[str, dict[str, Told]] = {}
             for host, f, s, t, h in shipped.value:
                 if host is not None:
                     hosts.setdefault(host, dict(every))[f] = (s, t, h)
             for b in batches:
-                rows = [(j, i, w) for j, t, h, d in zip(b["jobid"], b["jobtitle"], b["host"], b["jobdescription"]) for i, w in furniture_of(t, d, hosts.get(h, every), _lines(), words)]
+                rows = [(j, i, w) for j, t, h, d in zip(b["jobid"], b["jobtitle"], b["host"], b["jobdescription"]) for i, w in furniture_of(t, d, hosts.get(h, every), _lines(), words, lengths)]
                 yield pd.DataFrame(rows, columns=["jobid", "line_no", "by_words"])
 
         return docs.mapInPandas(decide, LINES).distinct()
