@@ -1,9 +1,12 @@
 """Problem 4: link the spellings that mean the same organisation.
 
 Distinct names are taken apart (legal form, department, branch, trade, core, acronym). The cores are
-blocked by what is left of them when a letter is left out: two cores that are one edit or one moved letter apart
+blocked by the suffixes of their tokens from three letters on (two in short tokens), and of their tokens read backwards, so that an error near the end
+leaves a suffix too. Of the nested suffixes of a token the shortest one with at most ``COMMON`` cores makes its block.
+Where two cores share none but over-common suffixes these are not discarded: their cores are blocked by the field beside the
+suffix, the rest of the name, with a letter left out: two cores that are one edit or one moved letter apart
 share the longer one less a letter, so every pair that the comparison accepts shares a key, however common
-their beginnings and endings are and whether or not trade and address are given. Pairs within a block are
+their beginnings and endings are. (Trade and address cannot take that part: they are missing or differ in many spellings.) Pairs within a block are
 compared by the ratio of their longest common subsequence. Linked cores form components by label propagation over tables in
 the shared folder. An organisation is a component and a trade; a name without a trade joins the only trade
 of its core or the one its addresses point to, an acronym the organisation that writes it in brackets or
@@ -27,8 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions.text import site_host, strip
-from postloom.runtime import materialize
+from postloom.runtime import materialize, semi_or_salted
 
+#: Cores that may share a suffix and still be a block.
+COMMON = 30
 #: Least LCS ratio of two cores: one edit in seven letters or more, or a swap of neighbours.
 LEAST_RATIO = 0.85
 
@@ -223,9 +228,37 @@ def keys_of(cores: pd.Series) -> pd.Series:
     return pd.Series([[(h, k > 0, len(_plain(c))) for k, h in enumerate(_hashes(c))] for c in cores])
 
 
-def candidate_pairs(cores: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of cores that share a key: all pairs that :func:`similar` accepts and few others. ``cores``: core."""
-    index = cores.select("core").distinct().select("core", F.explode(keys_of("core")).alias("k")).select("core", "k.key", "k.cut", "k.letters")
+def suffixes(cores: DataFrame) -> DataFrame:
+    """(core, at, back, short, first, key): the suffixes of every token of distinct cores, and of the token read backwards. Those of one and two letters, of
+    short tokens only, are a chain of their own, so that the chains of two tokens begin alike; ``first`` marks the beginning of a chain."""
+    plain = F.col("core")
+    for a, b in (("ae", "a"), ("oe", "o"), ("aa", "a")):
+        plain = F.replace(plain, F.lit(a), F.lit(b))
+    tokens = cores.select("core", F.posexplode(F.filter(F.split(plain, " "), lambda t: t != "")).alias("at", "t"))
+    n = F.length("t")
+    sized = tokens.withColumn("k", F.explode(F.sequence(F.when(n <= 5, F.least(n, F.lit(2))).otherwise(3), n))).withColumns({"short": F.col("k") < 3, "first": F.col("k") <= 3})
+    ends = F.array(F.struct(F.lit(False).alias("back"), F.concat(F.lit("-"), F.right("t", "k")).alias("key")), F.struct(F.lit(True).alias("back"), F.concat(F.left("t", "k"), F.lit("-")).alias("key")))
+    return sized.select("core", "at", "k", "short", "first", F.explode(ends).alias("e")).select("core", "at", "e.back", "k", "short", "first", "e.key")
+
+
+def candidate_pairs(cores: DataFrame, common: int = COMMON) -> DataFrame:
+    """Pairs (a, b), a < b, of cores that share a block: all pairs of a common suffix that :func:`similar` accepts and few others. ``cores``: core."""
+    distinct = cores.select("core").distinct()
+    rows = materialize(suffixes(distinct), "suffixes")
+    crowded = materialize(rows.select("key", "core").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > common), "crowded")
+    told = semi_or_salted(rows, crowded, ["key"], how="left", salt_by=F.xxhash64("core"))
+    block = materialize(told.filter("held is null").groupBy("core", "at", "back", "short").agg(F.min_by("key", "k").alias("key")).select("core", "key").distinct(), "blocks")
+    a, b = block.select("key", F.col("core").alias("a")), block.select("key", F.col("core").alias("b"))
+    near = F.abs(F.length("a") - F.length("b")) <= 3  # letters that are written as two count as one in the comparison
+    pairs = a.join(b, "key").filter(F.col("a") < F.col("b")).filter(near).select("a", "b")  # at most common cores a block
+    rest = told.filter("held is not null and first").select("core").distinct()
+    return pairs.unionByName(refined_pairs(rest)).distinct()
+
+
+def refined_pairs(cores: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct cores that are equal when a letter is left out. A block has at most the cores that one more letter can
+    make of its key: letters of the alphabet times places."""
+    index = cores.select("core", F.explode(keys_of("core")).alias("k")).select("core", "k.key", "k.cut", "k.letters")
     a, b = index.select("key", F.col("core").alias("a"), F.col("cut").alias("cut_a"), F.col("letters").alias("letters")), index.select("key", F.col("core").alias("b"), F.col("cut").alias("cut_b"))
     met = ~(F.col("cut_a") & F.col("cut_b")) | (F.col("letters") >= BOTH_CUT)
     return a.join(b, "key").filter(F.col("a") < F.col("b")).filter(met).select("a", "b").distinct()
