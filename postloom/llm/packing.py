@@ -6,9 +6,9 @@ size. So the packing is global, exact in its counts, and no document or id ever
 
 Bin completion (branch and bound), the same for every number of items: the incumbent is best-fit decreasing over the histogram. A node takes the largest
 remaining size and enumerates the undominated fillings of the room beside it, least waste and largest items first; it branches on
-them, each used as often as the counts allow or once. A branch is cut when its waste so far already costs
-as many containers as the best solution known, and the search stops at the lower bound (Martello and Toth's L2). ``NODES`` bounds
-the nodes and ``VISITS`` the steps of each enumeration; the best solution found by then stands, and :func:`report` gives it beside best-fit and the bound.
+them, each used as often as the counts allow or once. The first one is looked for by itself, the others when the search comes back to the node. A branch is cut when its waste so far already costs
+as many containers as the best solution known, and the search stops at the lower bound (Martello and Toth's L2). ``STEPS`` bounds
+the steps of the whole search and ``VISITS`` those of one enumeration; the best solution found by then stands, and :func:`report` gives it beside best-fit and the bound.
 
 A document larger than a container is cut into full containers and a rest, which is packed like any other. The rank of
 a document among those of its size is counted in two steps over parts by hash, so a size that a third of the
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from postloom.runtime import is_small, materialize
 
-CAPACITY, NODES, VISITS, FILLINGS = 2048, 6_000, 2_000, 64
+CAPACITY, STEPS, VISITS, FILLINGS = 2048, 1_000_000, 2_000, 64
 #: Rows of a part within which the documents of one size are ranked, and the least number of parts.
 PART_ROWS, PARTS = 200_000, 64
 TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
@@ -40,28 +40,27 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 Filling = tuple[int, ...]
 
 
-def completions(counts: dict[int, int], room: int, limit: int, nodes: int) -> list[Filling]:
+def completions(counts: dict[int, int], room: int, limit: int, nodes: int, spent: list[int] | None = None) -> list[Filling]:
     """Undominated fillings of ``room``, least waste first and among these largest items first: none can take another
-    item, and in none two items could give way to one that fits in their place."""
+    item, and in none two items could give way to one that fits in their place. At most ``nodes`` steps are made, and no more once ``limit`` fillings
+    without waste are known; ``spent`` counts the steps."""
     sizes = sorted((s for s, n in counts.items() if n > 0 and s <= room), reverse=True)
+    negative = [-s for s in sizes]
     found: list[tuple[int, Filling]] = []
     left = {s: counts[s] for s in sizes}
-    budget = nodes
-    smallest = sizes[-1] if sizes else 0
+    budget, full = nodes, 0
 
     def visit(at: int, room: int, chosen: list[int]) -> bool:
-        """Whether to stop: enough fillings without waste are known, or the nodes are used up."""
-        nonlocal budget
+        """Whether to stop."""
+        nonlocal budget, full
         budget -= 1
-        i = max(at, bisect.bisect_left(sizes, -room, key=lambda s: -s)) if sizes else 0
-        if room < smallest or i >= len(sizes):
-            if all(s > room or left[s] == 0 for s in sizes[: at + 1]) and not _dominated(chosen, room, left):
-                found.append((room, tuple(chosen)))
-            return sum(w == 0 for w, _ in found) >= limit
-        for k in range(i, len(sizes)):
+        fits = bisect.bisect_left(negative, -room)
+        more = False
+        for k in range(max(at, fits), len(sizes)):
             s = sizes[k]
             if left[s] == 0:
                 continue
+            more = True
             left[s] -= 1
             chosen.append(s)
             stop = visit(k, room - s, chosen)
@@ -69,9 +68,14 @@ def completions(counts: dict[int, int], room: int, limit: int, nodes: int) -> li
             left[s] += 1
             if stop or budget <= 0:
                 return True
-        return False
+        if not more and not any(left[s] for s in sizes[fits:at]) and not _dominated(chosen, room, left):
+            found.append((room, tuple(chosen)))
+            full += room == 0
+        return full >= limit
 
     visit(0, room, [])
+    if spent is not None:
+        spent[0] += nodes - budget
     found.sort(key=lambda f: (f[0], tuple(-s for s in f[1])))
     return list(dict.fromkeys(c for _, c in found))[: max(limit, 1)] or [_greedy(counts, room)]
 
@@ -155,7 +159,7 @@ def n_containers(packing: Packing) -> int:
     return sum(n for _, n in packing)
 
 
-def pack(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Packing:
+def pack(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> Packing:
     """(filling, times) of containers that hold all items; every size is between 1 and ``capacity``."""
     left = {s: n for s, n in counts.items() if n > 0}
     if not left:
@@ -164,17 +168,23 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -
     fewest, bound = n_containers(best), least_containers(left, capacity)
     total = sum(s * n for s, n in left.items())
 
+    spent = [0]
+
     def branches() -> Iterator[tuple[Filling, int]]:
         top = max(left)
-        left[top] -= 1
-        fillings = completions(left, capacity - top, FILLINGS, VISITS)
-        left[top] += 1
-        for fill in fillings:
-            filling = (top, *fill)
-            most = min(left[s] // filling.count(s) for s in set(filling))
-            yield filling, most
-            if most > 1:
-                yield filling, 1
+        tried: set[Filling] = set()
+        for limit in (1, FILLINGS):
+            left[top] -= 1
+            fillings = completions(left, capacity - top, limit, VISITS, spent)
+            left[top] += 1
+            for fill in fillings:
+                if fill not in tried:
+                    tried.add(fill)
+                    filling = (top, *fill)
+                    most = min(left[s] // filling.count(s) for s in set(filling))
+                    yield filling, most
+                    if most > 1:
+                        yield filling, 1
 
     def take(filling: Filling, times: int) -> None:
         for s in set(filling):
@@ -189,7 +199,7 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -
     chosen: Packing = []
     used = waste = 0
     stack = [branches()]
-    while stack and nodes > 0 and fewest > bound:
+    while stack and spent[0] < steps and fewest > bound:
         step = next(stack[-1], None)
         if step is None:
             stack.pop()
@@ -199,7 +209,7 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -
                 used -= times
                 waste -= times * (capacity - sum(filling))
             continue
-        nodes -= 1
+        spent[0] += 1
         filling, times = step
         lost = waste + times * (capacity - sum(filling))
         if -(-(total + lost) // capacity) >= fewest:
@@ -246,12 +256,12 @@ def pieces(sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return cut.select("doc_id", "piece", (F.col("piece") * capacity).cast("bigint").alias("start"), F.least(F.lit(capacity), F.col("n_tokens") - F.col("piece") * capacity).cast("bigint").alias("n_tokens"))
 
 
-def assign(sizes: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
+def assign(sizes: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> DataFrame:
     """(doc_id, piece, start, n_tokens, container) for every piece of every document of ``sizes``."""
-    return assigned(sizes, capacity, nodes)[0]
+    return assigned(sizes, capacity, steps)[0]
 
 
-def assigned(sizes: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> tuple[DataFrame, dict[str, int]]:
+def assigned(sizes: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> tuple[DataFrame, dict[str, int]]:
     """:func:`assign` with the :func:`report` of the packing."""
     spark = sizes.sparkSession
     cut = materialize(pieces(sizes, capacity), "pieces")  # ids and sizes
@@ -262,7 +272,7 @@ def assigned(sizes: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) ->
     before = Window.partitionBy("n_tokens").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     cells = materialize(cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "cells")
     histogram = {int(r[0]): int(r[1]) for r in cells.filter("n_tokens > 0").groupBy("n_tokens").agg(F.sum("n")).collect()}  # at most capacity rows
-    packing = pack(histogram, capacity, nodes)
+    packing = pack(histogram, capacity, steps)
     used: dict[int, int] = {}
     rows, base = [], 0
     for fill, times in packing:

@@ -202,42 +202,48 @@ def induce(records: Iterable[tuple[str | None, frozenset[str], str]], lines: Lin
     records = sorted(records, key=lambda r: r[2])
     pages = [page(text, lines) for _, _, text in records]
     on: Counter[str] = Counter(f for p in pages for f in {f for _, leaves in p for f in leaves})
-    whole = [{f for _, leaves in p for f in leaves if f[0] == "s"} for p in pages]
+    code = {f: zlib.crc32(f.encode()) for f, n in on.items() if n > 1}  # leaves of one page match nothing
+    shared = [[(i, kept) for i, leaves in p if (kept := tuple([f for f in leaves if f in code]))] for p in pages]
+    whole: list[set[str]] = []
     keys: list[tuple] = []
-    for p in pages:
-        shared = {f: zlib.crc32(f.encode()) for _, leaves in p for f in leaves if on[f] > 1}
-        codes = [c for f, c in shared.items() if f[0] in "siw"]
-        keys.append((min(((on[f], c) for f, c in shared.items()), default=(0, 0)), *[min((c * odd & 0xFFFFFFFF for c in codes), default=0) for odd in ORDERS]))
+    for p, s in zip(pages, shared):
+        whole.append({leaves[0] for _, leaves in p if leaves[0][0] == "s"})
+        own_leaves = {f for _, leaves in s for f in leaves}
+        codes = [code[f] for f in own_leaves if f[0] in "siw"]
+        keys.append((min([(on[f], code[f]) for f in own_leaves], default=(0, 0)), *[min([c * odd & 0xFFFFFFFF for c in codes], default=0) for odd in ORDERS]))
     votes: Counter[str] = Counter()
     for k in range(1 + len(ORDERS)):  # neighbours in an order share a node
         order = sorted(range(len(pages)), key=lambda i: keys[i][k])
         for x, y in zip(order, order[1:]):
             if 2 * len(whole[x] & whole[y]) <= max(1, len(whole[x]), len(whole[y])):  # the same advert again tells nothing
-                votes.update(set(simple_tree_matching(pages[x], pages[y])))
+                votes.update(set(simple_tree_matching(shared[x], shared[y])))
     splits = [text.split("\n") for _, _, text in records]
     at = [own_title(terms(title), split, p) for (title, _, _), split, p in zip(records, splits, pages)]
     titles = {f for p, k in zip(pages, at) if k is not None for f in p[k][1] if f[0] in "sw"}
-    out: dict[str, list[int]] = {}
+    constant = titles | {f for f in votes if f[0] not in "be"}
+    out: dict[str, list[int]] = {f: [0] * 6 for f in code}
     for (_, words, _), split, p, own in zip(records, splits, pages, at):
-        foreign = [k != own and any(f in titles for f in leaves) for k, (_, leaves) in enumerate(p)]
-        vary = [k for k, (_, leaves) in enumerate(p) if k == own or not (foreign[k] or any(f in votes for f in leaves if f[0] not in "be"))]
+        foreign = [k != own and not titles.isdisjoint(leaves) for k, (_, leaves) in enumerate(p)]
+        vary = [k for k, (_, leaves) in enumerate(p) if k == own or constant.isdisjoint(leaves)]
         last = vary[-1] if vary else -1
-        before = max((k for k in vary if own is not None and k < own), default=-1)
+        before = max([k for k in vary if k < own], default=-1) if own is not None else -1
         for k, (i, leaves) in enumerate(p):
+            counted = [out[f] for f in leaves if f in out]
+            if not counted:
+                continue
+            if k == own:
+                for e in counted:
+                    e[4] += 1
+                continue
             above = own is not None and before < k < own
             below = k > last and words.isdisjoint(terms(_SLOT.sub(" ", split[i - 1])))
             head = k + 2 < len(p) and foreign[k + 1] and foreign[k + 2] and not foreign[k]
-            for f in leaves:
-                if on[f] > 1:
-                    e = out.setdefault(f, [0] * 6)
-                    if k == own:
-                        e[4] += 1
-                        continue
-                    e[0] += 1
-                    e[1] += own is not None
-                    e[2] += above
-                    e[3] += below
-                    e[5] += head
+            for e in counted:
+                e[0] += 1
+                e[1] += own is not None
+                e[2] += above
+                e[3] += below
+                e[5] += head
     return [(f, votes[f], *e) for f, e in out.items()]
 
 
@@ -297,41 +303,43 @@ def _lines() -> Lines:
     return _LINES[0]
 
 
-Told = tuple[float, bool, bool]
-
-
-def node_score(leaves: Sequence[str], told: dict[str, Told]) -> float | None:
-    """What the template says of one node; None if no leaf of it is in the template."""
-    known = {f[0]: told[f][0] for f in leaves if f in told}
-    if not known:
-        return None
-    if leaves[0][0] == "i":
-        scores = [max(-SURE, min(SURE, told[f][0])) for f in leaves if f in told]
-    elif abs(known.get("s", 0)) >= 3:
-        scores = [known["s"]]
-    elif "w" in known:
-        scores = [known["w"]]
-    else:
-        scores = [max(-SURE, min(SURE, x)) for x in known.values()]
-    return sum(scores) / len(scores)
-
-
-def lengths_of(leaves: Iterable[str]) -> set[int]:
-    """The lengths in words of the whole wordings among some leaves."""
-    return {int(f.split(":")[1]) for f in leaves if f[0] == "s"}
-
-
-def furniture_of(title: str | None, text: str, told: dict[str, Told], lines: Lines, words: bool = True, lengths: set[int] | None = None) -> list[tuple[int, bool]]:
-    """(line number, whether words broke the tie) of the lines of a page that are furniture. ``lengths``: those of ``told``, if at hand."""
-    nodes, split = page(text, lines, lengths), text.split("\n")
+class Template:
+    """The template's leaves as one task needs them: scores, leaves of titles and of heads of lists, lengths in words of whole wordings."""
+
+    def __init__(self, rows: Iterable[tuple[str, float, bool, bool]]):
+        self.score: dict[str, float] = {}
+        self.titles: set[str] = set()
+        self.heads: set[str] = set()
+        for f, score, title, head in rows:
+            self.score[f] = max(-SURE, min(SURE, score))
+            if title:
+                self.titles.add(f)
+            if head:
+                self.heads.add(f)
+        self.lengths = {int(f.split(":")[1]) for f in self.score if f[0] == "s"}
+
+    def node(self, leaves: Sequence[str]) -> float | None:
+        """What the template says of one node; None if no leaf of it is in the template."""
+        known = [(f[0], self.score[f]) for f in leaves if f in self.score]
+        if not known:
+            return None
+        kind, score = known[0]
+        if (kind == "s" and abs(score) >= 3) or len(known) == 1:
+            return score
+        of = dict(known)
+        return of["w"] if "w" in of else sum([x for _, x in known]) / len(known)
+
+
+def furniture_of(title: str | None, text: str, told: Template, lines: Lines, words: bool = True) -> list[tuple[int, bool]]:
+    """(line number, whether words broke the tie) of the lines of a page that are furniture."""
+    nodes, split = page(text, lines, told.lengths), text.split("\n")
     own, out, listed = own_title(terms(title), split, nodes), [], False
     for k, (i, leaves) in enumerate(nodes):
         if k == own:
             listed = False
             continue
-        head = any(f in told and told[f][2] for f in leaves)
-        listed = head or (listed and any(f in told and told[f][1] for f in leaves))
-        score = SURE if listed else node_score(leaves, told)
+        listed = not told.heads.isdisjoint(leaves) or (listed and not told.titles.isdisjoint(leaves))
+        score = SURE if listed else told.node(leaves)
         if score is None:
             continue
         tie = score < DECIDED
@@ -353,14 +361,11 @@ def furniture_lines(postings: DataFrame, leaves: DataFrame | None = None, words:
         shipped = postings.sparkSession.sparkContext.broadcast([tuple(r) for r in leaves.select("host", "leaf", "score", "title", "head").collect()])
 
         def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            every: dict[str, Told] = {f: (s, t, h) for host, f, s, t, h in shipped.value if host is None}
-            lengths = lengths_of(every)
-            hosts: dict[str, dict[str, Told]] = {}
-            for host, f, s, t, h in shipped.value:
-                if host is not None:
-                    hosts.setdefault(host, dict(every))[f] = (s, t, h)
+            rows = shipped.value
+            every = Template(r[1:] for r in rows if r[0] is None)
+            hosts = {h: Template([*[r[1:] for r in rows if r[0] is None], *[r[1:] for r in rows if r[0] == h]]) for h in {r[0] for r in rows if r[0] is not None}}
             for b in batches:
-                rows = [(j, i, w) for j, t, h, d in zip(b["jobid"], b["jobtitle"], b["host"], b["jobdescription"]) for i, w in furniture_of(t, d, hosts.get(h, every), _lines(), words, lengths)]
+                rows = [(j, i, w) for j, t, h, d in zip(b["jobid"], b["jobtitle"], b["host"], b["jobdescription"]) for i, w in furniture_of(t, d, hosts.get(h, every), _lines(), words)]
                 yield pd.DataFrame(rows, columns=["jobid", "line_no", "by_words"])
 
         return docs.mapInPandas(decide, LINES).distinct()
@@ -374,9 +379,7 @@ def furniture_lines(postings: DataFrame, leaves: DataFrame | None = None, words:
         for b in batches:
             rows = []
             for j, t, d, told in zip(b["jobid"], b["jobtitle"], b["jobdescription"], b["told"]):
-                mine: dict[str, Told] = {}
-                for r in sorted(told if told is not None else [], key=lambda r: r["host"] is not None):
-                    mine[r["leaf"]] = (r["score"], r["title"], r["head"])
+                mine = Template((r["leaf"], r["score"], r["title"], r["head"]) for r in sorted(told if told is not None else [], key=lambda r: r["host"] is not None))
                 rows += [(j, i, w) for i, w in furniture_of(t, d, mine, _lines(), words)]
             yield pd.DataFrame(rows, columns=["jobid", "line_no", "by_words"])
 

@@ -112,10 +112,10 @@ def test_long_lines_are_nodes_too(pages, postings):
 def test_words_break_ties_only():
     lines = W.Lines()
     text = "Forside | Søg job | Min side\nVi tilbyder\nFølg os på de sociale medier"
-    told = {f: (s, False, False) for x, s in zip(text.split("\n"), (0.0, 0.0, -W.SURE)) for f in lines.leaves(x)}
+    told = W.Template((f, s, False, False) for x, s in zip(text.split("\n"), (0.0, 0.0, -W.SURE)) for f in lines.leaves(x))
     assert W.furniture_of(None, text, told, lines) == [(1, True)]
-    assert W.furniture_of(None, "Loading...", {f: (9.0, False, False) for f in lines.leaves("Loading...")}, lines) == []  # a finding of problem 1
-    assert W.furniture_of(None, text, told, lines, words=False) == [] == W.furniture_of(None, text, {}, lines)
+    assert W.furniture_of(None, "Loading...", W.Template((f, 9.0, False, False) for f in lines.leaves("Loading...")), lines) == []  # a finding of problem 1
+    assert W.furniture_of(None, text, told, lines, words=False) == [] == W.furniture_of(None, text, W.Template([]), lines)
 
 
 def test_nothing_is_constant_on_one_page(postings):
