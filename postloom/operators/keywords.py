@@ -156,5 +156,5 @@ def keywords_of(texts: DataFrame, posting: str, text: str, stops: dict[str, Data
     if category is not None:
         out = out.join(texts.select(posting, F.col(category).alias("_category")), posting)
     out = materialize(out, "candidates")  # read twice below
-    kept = valid(out, filter_stops, "keyword", "_category" if category else None).withColumn("confidence", confidence("score"))
+    kept = valid(out, filter_stops, "keyword", "_category" if category else None).withColumn("confidence", F.round(confidence("score"), 9))  # digits that differ by the order of sums decide nothing
     return top_keywords(best_per_key(kept, posting, "keyword", "confidence", "idx"), posting, "confidence").select(posting, "rank", "keyword", "source", F.round("confidence", 6).alias("confidence"))

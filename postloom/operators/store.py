@@ -1,19 +1,19 @@
 """The store: postings, categories, links and keywords with first-write-wins upserts.
 
-Tables are Parquet and never changed in place: a batch gives new tables, which the versioned store (:class:`Store`) makes
-current in one step. Ids are dense and stable: existing rows keep theirs, new rows get the next ones in the order of arrival,
+Tables are Parquet and never changed in place: a batch rewrites the buckets of the addresses and postings it touches, once, and the versioned
+store (:class:`Store`) makes them current in one step, so what a batch writes grows with the batch and not with the store. Ids are dense and stable: existing rows keep theirs, new rows get the next ones in the order of arrival,
 numbered by range partitions and not in one task. The clock is always the argument ``as_of``.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postloom.operators.versions import BUCKET_ROWS, BUCKETS, Buckets, Versions
 from postloom.runtime import materialize
 
 POSTINGS = T.StructType(
@@ -73,10 +73,11 @@ def category_name(category: Column, categories: DataFrame | None = None) -> Colu
     return F.when(F.coalesce(category, F.lit("")) != "", category)
 
 
-def get_or_create(categories: DataFrame, names: DataFrame, name: str = "name") -> DataFrame:
+def get_or_create(categories: DataFrame, names: DataFrame, name: str = "name", start: int | None = None) -> DataFrame:
     """The dimension with every name of ``names``; new ones get the next ids in the order of their names."""
+    start = next_id(categories, "categoryid") if start is None else start
     new = names.select(F.col(name).alias("name")).filter("name is not null").distinct().join(categories.select("name"), "name", "left_anti")
-    return categories.select("categoryid", "name").unionByName(numbered(new, ["name"], "categoryid", next_id(categories, "categoryid")).select("categoryid", "name"))
+    return categories.select("categoryid", "name").unionByName(numbered(new, ["name"], "categoryid", start).select("categoryid", "name"))
 
 
 def link(links: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -105,14 +106,16 @@ def rejected(batch: DataFrame, widths: dict[str, int] | None = None) -> DataFram
     return batch.withColumn("reason", out if out is not None else F.lit(None).cast("string")).filter("reason is not null")
 
 
-def upsert(postings: DataFrame, incoming: DataFrame, order: Sequence[str]) -> DataFrame:
+def upsert(postings: DataFrame, incoming: DataFrame, order: Sequence[str], start: int | None = None) -> DataFrame:
     """``incoming`` (of :func:`first_and_last`) into the postings. Known addresses keep their content, are seen
-    now (a late record does not set the time back) and active again; new ones are inserted, active, with the next ids in their order."""
+    now (a late record does not set the time back) and active again; new ones are inserted, active, with the ids after ``start`` (else the highest)
+    in their order."""
+    start = next_id(postings, "jobid") if start is None else start
     columns = [c for c in postings.columns if c not in ("jobid", "joburl", "seenlast", "isactive")]
     seen = incoming.select("joburl", "_seen")
     kept = postings.join(seen, "joburl", "left").withColumns({"isactive": F.col("_seen").isNotNull() | F.coalesce("isactive", F.lit(True)), "seenlast": F.greatest("_seen", "seenlast")})
     new = incoming.join(postings.select("joburl"), "joburl", "left_anti")
-    placed = numbered(new, [*[f"_first_{o}" for o in order], "joburl"], "jobid", next_id(postings, "jobid"))
+    placed = numbered(new, [*[f"_first_{o}" for o in order], "joburl"], "jobid", start)
     known = {f.name: f.dataType for f in postings.schema}
     inserted = placed.select("jobid", *[(F.col(c) if c in placed.columns else F.lit(None)).cast(known[c]).alias(c) for c in columns], "joburl", F.col("_seen").cast(known["seenlast"]).alias("seenlast"), F.lit(True).alias("isactive"))
     return kept.select(*postings.columns).unionByName(inserted.select(*postings.columns))
@@ -147,60 +150,85 @@ def violations(postings: DataFrame, links: DataFrame) -> DataFrame:
 
 class Store:
     """The four tables under a path, each batch a new version. ``apply`` is idempotent by batch id, so that a stream that
-    repeats a batch after a failure changes nothing twice."""
+    repeats a batch after a failure changes nothing twice. Postings are cut by address, links and keywords by posting; the categories are
+    one bucket (a dimension of names). The highest ids are kept with the version."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._p = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._p(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _state(self) -> dict:
-        root = self._p(f"{self.path}/versions")
-        if not self._fs.exists(root):
-            return {"version": 0, "tables": {}, "batches": []}
-        last = max(int(s.getPath().getName()) for s in self._fs.listStatus(root) if s.getPath().getName().isdigit())
-        return json.loads(self.spark.read.text(f"{self.path}/versions/{last}", wholetext=True).first()[0])
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.versions = spark, Versions(spark, path)
+        self.path = self.versions.path
+        keys = {"postings": "joburl", "categories": "name", "posting_categories": "jobid", "posting_keywords": "jobid"}
+        self.tables = {n: Buckets(self.versions, n, SCHEMAS[n], k, 1 if n == "categories" else buckets, bucket_rows) for n, k in keys.items()}
 
     def read(self, name: str) -> DataFrame:
-        at = self._state()["tables"].get(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(at) if at else self.spark.createDataFrame([], SCHEMAS[name])
-
-    def commit(self, tables: dict[str, DataFrame], batch_id: int | str | None = None) -> None:
-        """Make new tables current in one step; an older writer's late commit fails."""
-        state = self._state()
-        version = state["version"] + 1
-        at = dict(state["tables"])
+        return self.tables[name].read(self.tables[name].entry(self.versions.state()))
+
+    def load(self, tables: dict[str, DataFrame]) -> None:
+        """Begin with tables that exist already: each replaces the store's table as a whole."""
+        state = self.versions.state()
+        entries, ids = dict(state.get("tables", {})), dict(state.get("ids", {}))
         for name, df in tables.items():
-            at[name] = f"{self.path}/{name}/v{version}"
-            df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]]).write.mode("overwrite").parquet(at[name])
-        batches = (state["batches"] + [batch_id] * (batch_id is not None))[-1000:]
-        tmp, out = self._p(f"{self.path}/.version-{version}"), self._p(f"{self.path}/versions/{version}")
-        self._fs.mkdirs(self._p(f"{self.path}/versions"))
-        s = self._fs.create(tmp, True)
-        s.write(bytearray(json.dumps({"version": version, "tables": at, "batches": batches}).encode()))
-        s.close()
-        if self._fs.exists(out) or not self._fs.rename(tmp, out):
-            raise RuntimeError(f"another writer made version {version} of {self.path}")
-
-    def apply(self, batch: DataFrame, batch_id: int | str | None = None, url: str = "url", seen: str = "seen", order: Sequence[str] = ("batch", "seq"), content: Sequence[str] = ("jobtitle",), category: str = "category", keywords: str | None = None) -> None:
+            t = self.tables[name]
+            entry = {"buckets": t.begin, "at": {}, "rows": {}}
+            entries[name] = t.write(df, entry, list(range(entry["buckets"])), state["version"] + 1)
+            if SCHEMAS[name].names[0] in ("jobid", "categoryid", "keywordid") and name != "posting_categories":
+                ids[name] = next_id(t.read(entries[name]), SCHEMAS[name].names[0])
+        self.versions.commit(state | {"tables": entries, "ids": ids})
+
+    def apply(
+        self, batch: DataFrame, batch_id: int | str | None = None, url: str = "url", seen: str = "seen", order: Sequence[str] = ("batch", "seq"), content: Sequence[str] = ("jobtitle",), category: str = "category",
+        keywords: str | None = None,
+    ) -> None:
         """One micro-batch into all tables."""
-        if batch_id is not None and batch_id in self._state()["batches"]:
+        state = self.versions.state()
+        if batch_id is not None and self.versions.applied(batch_id, state):
             return
-        postings = self.read("postings")
+        version, ids, entries = state["version"] + 1, dict(state.get("ids", {})), dict(state.get("tables", {}))
+
+        def entry(name: str) -> dict:
+            return self.tables[name].entry(state)
+
+        def put(name: str, df: DataFrame, touched: list[int]) -> None:
+            entries[name] = self.tables[name].write(df, entry(name), touched, version)
+
         incoming = materialize(first_and_last(batch, url, seen, order, [*content, *([keywords] if keywords else [])]), "incoming")
-        after = materialize(upsert(postings, incoming.drop(keywords) if keywords else incoming, order), "postings")
-        named = batch.select(F.col(url).alias("joburl"), category_name(F.col(category)).alias("name")).filter("name is not null").distinct()
-        categories = materialize(get_or_create(self.read("categories"), named), "categories")
-        pairs = named.join(after.select("joburl", "jobid"), "joburl").join(categories, "name")
-        tables = {"postings": after, "categories": categories, "posting_categories": link(self.read("posting_categories"), pairs)}
+        touched = self.tables["postings"].touched(entry("postings"), incoming)
+        old = self.tables["postings"].read(entry("postings"), touched)
+        start = ids.get("postings", 0)
+        put("postings", upsert(old, incoming.drop(keywords) if keywords else incoming, order, start), touched)
+        now = entries.get("postings", entry("postings"))
+        hit = touched if now["buckets"] == entry("postings")["buckets"] else self.tables["postings"].touched(now, incoming)
+        after = self.tables["postings"].read(now, hit).join(incoming.select("joburl"), "joburl", "left_semi").select("joburl", "jobid")
+        stored = materialize(after, "stored")  # the addresses of the batch
+        ids["postings"] = max(start, next_id(stored, "jobid"))
+
+        named = materialize(batch.select(F.col(url).alias("joburl"), category_name(F.col(category)).alias("name")).filter("name is not null").distinct(), "named")
+        known, start_c = self.tables["categories"].read(entry("categories")), ids.get("categories", 0)
+        dim = materialize(get_or_create(known, named, start=start_c), "categories")
+        ids["categories"] = max(start_c, next_id(dim, "categoryid"))
+        if ids["categories"] > start_c:
+            put("categories", dim, [0])
+        pairs = materialize(named.join(stored, "joburl").join(dim, "name").select("jobid", "categoryid"), "pairs")
+        linked = self.tables["posting_categories"].touched(entry("posting_categories"), pairs)
+        put("posting_categories", link(self.tables["posting_categories"].read(entry("posting_categories"), linked), pairs), linked)
         if keywords:  # W5/K10: only for new postings
-            old = self.read("posting_keywords")
-            rows = incoming.join(postings.select("joburl"), "joburl", "left_anti").join(after.select("joburl", "jobid"), "joburl").select("jobid", F.posexplode(keywords).alias("_at", "_k"))
-            tables["posting_keywords"] = old.unionByName(numbered(rows, ["jobid", "_at"], "keywordid", next_id(old, "keywordid")).select("keywordid", "jobid", "_k.keyword", "_k.source", F.col("_k.confidence").alias("confidencescore")))
-        self.commit(tables, batch_id)
+            new = stored.filter(F.col("jobid") > start)
+            rows = incoming.join(new, "joburl").select("jobid", F.posexplode(keywords).alias("_at", "_k"))
+            start_k = ids.get("posting_keywords", 0)
+            rows = materialize(numbered(rows, ["jobid", "_at"], "keywordid", start_k).select("keywordid", "jobid", "_k.keyword", "_k.source", F.col("_k.confidence").alias("confidencescore")), "keywords")
+            ids["posting_keywords"] = max(start_k, next_id(rows, "keywordid"))
+            said = self.tables["posting_keywords"].touched(entry("posting_keywords"), rows)
+            put("posting_keywords", self.tables["posting_keywords"].read(entry("posting_keywords"), said).unionByName(rows), said)
+        self.versions.commit(state | {"tables": entries, "ids": ids}, batch_id)
 
     def expire(self, as_of: Column, days: int = 1) -> int:
-        """Returns the number of postings that became inactive."""
-        done = materialize(expire(self.read("postings"), as_of, days), "expired")
-        self.commit({"postings": done.drop("changed")})
-        return done.filter("changed").count()
+        """Returns the number of postings that became inactive; only their buckets are written."""
+        state = self.versions.state()
+        t = self.tables["postings"]
+        entry = t.entry(state)
+        stale = materialize(expire(t.read(entry), as_of, days).filter("changed").select("joburl"), "stale")
+        touched = t.touched(entry, stale)
+        if not touched:
+            return 0
+        done = t.write(expire(t.read(entry, touched), as_of, days).drop("changed"), entry, touched, state["version"] + 1)
+        self.versions.commit(state | {"tables": state["tables"] | {"postings": done}})
+        return stale.count()

@@ -5,8 +5,8 @@ the rows of each added or changed record after the change (sign +1) and the rows
 deleted record before it (sign -1). Aggregated to one row per term this is the change of its occurrences
 and of the number of records that hold it; no state per (term, record) is needed. The change is merged
 into counts that are partitioned by a hash of the term, and only the partitions that a change touches are
-written again. A manifest names, for each partition, the version that holds it, so that readers never see
-half a merge and a retried delta is applied once.
+written again (:mod:`versions`): readers never see half a merge, a retried delta of any age is applied once, and the partitions
+are split when they have become too large.
 
 Shuffles: (term, record) pairs after map-side aggregation, then one row per term. A hot term is spread by
 the record in the first step and arrives pre-aggregated in the second.
@@ -17,14 +17,13 @@ no record; repeated rows count as occurrences; empty tables give no terms; other
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions.text import strip
-from postloom.runtime import fresh_path
+from postloom.operators.versions import BUCKET_ROWS, BUCKETS, Buckets, Versions
+from postloom.runtime import fresh_path, materialize
 
 COUNTS = T.StructType([T.StructField("term", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("n_records", T.LongType())])
 
@@ -70,75 +69,34 @@ def changed_images(old: DataFrame, new: DataFrame, record: str, value: str) -> t
 class TermCounts:
     """Persistent counts per term under ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._p = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._p(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self.buckets = self._manifest().get("buckets", buckets)
-
-    # -- manifest: a small JSON file per version; the highest one holds
-    def _versions(self) -> list[int]:
-        root = self._p(self.path)
-        if not self._fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(root)]
-        return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
-
-    def _manifest(self) -> dict:
-        v = self._versions()
-        if not v:
-            return {}
-        return json.loads("\n".join(r[0] for r in self.spark.read.text(f"{self.path}/manifest-{v[-1]}.json", wholetext=True).collect()))
-
-    def _write_manifest(self, m: dict) -> None:
-        tmp, out = self._p(f"{self.path}/.writing-{m['version']}"), self._p(f"{self.path}/manifest-{m['version']}.json")
-        s = self._fs.create(tmp, True)
-        s.write(bytearray(json.dumps(m).encode()))
-        s.close()
-        if not self._fs.rename(tmp, out):
-            raise RuntimeError(f"another writer made version {m['version']} of {self.path}")
-
-    def _read(self, m: dict, buckets: list[int] | None = None) -> DataFrame:
-        paths = [f"{self.path}/v{v}/bucket={b}" for b, v in m.get("at", {}).items() if buckets is None or int(b) in buckets]
-        return self.spark.read.schema(COUNTS).parquet(*paths) if paths else self.spark.createDataFrame([], COUNTS)
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.versions = spark, Versions(spark, path)
+        self.path = self.versions.path
+        self.table = Buckets(self.versions, "counts", COUNTS, "term", buckets, bucket_rows)
 
     def apply(self, after: DataFrame | None = None, before: DataFrame | None = None, record: str = "jobid", value: str = "keyword", delta_id: str | None = None) -> None:
         """Merge one change; see the module. A ``delta_id`` that was applied before is ignored."""
-        m = self._manifest()
-        if delta_id is not None and delta_id in m.get("applied", []):
+        state = self.versions.state()
+        if delta_id is not None and self.versions.applied(delta_id, state):
             return
-        version = m.get("version", 0) + 1
+        entry, version = self.table.entry(state), state["version"] + 1
         images = signed_images(after, before, record, value)
-        bucket = F.pmod(F.xxhash64("term"), F.lit(self.buckets)).cast("int")
-        staged = f"{self.path}/delta-{version}"
-        term_deltas(images).withColumn("bucket", bucket).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged)
-        delta = self.spark.read.schema("term string, d_rows long, d_records long, bucket int").parquet(staged)
-        touched = sorted(r[0] for r in delta.select("bucket").distinct().collect())  # as many as buckets at most
+        delta = materialize(term_deltas(images), "delta")
+        touched = self.table.touched(entry, delta)
         # every record counts once on each side, whatever terms it holds
         records = images.filter("_record is not null").groupBy("_record", "_sign").agg(F.lit(1)).groupBy().agg(F.coalesce(F.sum("_sign"), F.lit(0))).first()[0]
-        old = self._read(m, touched).select("term", F.col("n_rows").alias("d_rows"), F.col("n_records").alias("d_records"))
-        merged = (
-            old.unionByName(delta.drop("bucket")).groupBy("term").agg(F.sum("d_rows").alias("n_rows"), F.sum("d_records").alias("n_records")).filter("n_rows <> 0 or n_records <> 0")
-            if m.get("at") else delta.select("term", F.col("d_rows").alias("n_rows"), F.col("d_records").alias("n_records")).filter("n_rows <> 0 or n_records <> 0")
-        )
-        if touched:
-            merged.withColumn("bucket", bucket).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v{version}")
-        at = m.get("at", {}) | {}
-        for b in touched:  # a bucket whose terms all went has no folder
-            if self._fs.exists(self._p(f"{self.path}/v{version}/bucket={b}")):
-                at[str(b)] = version
-            else:
-                at.pop(str(b), None)
-        self._write_manifest({"version": version, "buckets": self.buckets, "at": at, "records": m.get("records", 0) + int(records), "applied": (m.get("applied", []) + [delta_id] * (delta_id is not None))[-1000:]})
-        self._fs.delete(self._p(staged), True)
+        merged = delta.select("term", F.col("d_rows").alias("n_rows"), F.col("d_records").alias("n_records"))
+        if entry["at"]:
+            merged = self.table.read(entry, touched).unionByName(merged).groupBy("term").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_records").alias("n_records"))
+        entry = self.table.write(merged.filter("n_rows <> 0 or n_records <> 0"), entry, touched, version)
+        self.versions.commit(state | {"tables": {"counts": entry}, "records": state.get("records", 0) + int(records)}, delta_id)
 
     @property
     def records(self) -> int:
-        return self._manifest().get("records", 0)
+        return self.versions.state().get("records", 0)
 
     def counts(self) -> DataFrame:
-        return self._read(self._manifest())
+        return self.table.read(self.table.entry(self.versions.state()))
 
     def marked(self, rare_records: int = 2, common_share: float = 0.15) -> DataFrame:
         """All terms with their counts and a mark: ``rare`` (at most ``rare_records`` records), ``common`` (more

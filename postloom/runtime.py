@@ -6,6 +6,8 @@ Everything that has to outlive an executor is written to the folder that the clu
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,18 +22,32 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share."""
+    """The folder all executors share. On a cluster it must be named: a folder of one machine would hold a part of a table."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not (spark.conf.get("spark.master", None) or spark.sparkContext.master).startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="postloom-")
-    return _OWN[app]
+        _OWN[app] = tempfile.mkdtemp(prefix="postloom-")
+        atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
+    return "file://" + _OWN[app]
+
+
+def own_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are."""
+    return f"{shared_dir(spark)}/postloom/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/postloom/{name}-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once the results that are read from them are no longer needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -43,9 +59,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` (a materialized table) has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` (a materialized table) has at most ``max_rows`` rows and ``max_bytes`` bytes as stored."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= max_bytes and df.limit(max_rows + 1).count() <= max_rows
 
 
 def semi_or_salted(

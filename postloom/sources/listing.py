@@ -2,7 +2,8 @@
 
 ``spark.read.format("paged_listing")`` reads one partition per start address and follows the next-page links within
 it. Pages come from a folder of saved pages (``archive``: JSON lines of url and html) or, with ``live=true``, over HTTP; a
-task holds one page at a time, so there is nothing to restart to bound its memory.
+task holds one page at a time (and of an archive the places of its pages), so there is nothing to restart to bound its memory. A large archive
+is followed by :func:`archived_pages` instead, which parses every page once and finds the order by joins.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from postloom.operators.urls import absolutize
+from postloom.runtime import materialize
 from postloom.sources.dom import has_class, parse
 
 PAGES = "category string, page_no int, url string, html string"
@@ -75,12 +78,22 @@ class _Reader(DataSourceReader):
         if str(self.options.get("live", "false")).lower() == "true":
             fetch: Callable[[str], str | None] = fetch_live
         else:
-            saved: dict[str, str] = {}
+            places: dict[str, tuple[Path, int]] = {}
             for f in sorted(p for p in Path(self.options["archive"].removeprefix("file://")).iterdir() if p.is_file() and p.name[0] not in "._"):
-                for line in f.open(encoding="utf-8"):
-                    row = json.loads(line)
-                    saved[row["url"]] = row["html"]
-            fetch = saved.get
+                with f.open("rb") as lines:
+                    at = 0
+                    for line in lines:
+                        places[json.loads(line)["url"]] = (f, at)
+                        at += len(line)
+
+            def fetch(url: str) -> str | None:
+                if url not in places:
+                    return None
+                path, at = places[url]
+                with path.open("rb") as lines:
+                    lines.seek(at)
+                    return json.loads(lines.readline())["html"]
+
         assert isinstance(partition, _Start)
         yield from pages_of(partition.category, partition.url, fetch)
 
@@ -111,21 +124,46 @@ def existing_pages(pages: DataFrame) -> DataFrame:
     return pages.join(missing, "category", "left_anti")
 
 
-def ordered_pages(pages: DataFrame, starts: DataFrame, rounds: int = 10_000) -> DataFrame:
+def ordered_pages(pages: DataFrame, starts: DataFrame) -> DataFrame:
     """S4 over stored pages without numbers: (category, page_no, url) by following ``next_url`` from the start address
-    of each category; each round is one join, and as many rounds run as the longest listing has pages."""
-    from postloom.runtime import materialize
-
-    at = starts.select("category", F.col("url"), F.lit(1).alias("page_no"))
-    linked = pages.select("category", "url", "next_url")
-    done = at = materialize(at.join(linked, ["category", "url"]), "pages")
-    for _ in range(rounds):
-        step = at.filter("next_url is not null").select("category", F.col("next_url").alias("url"), (F.col("page_no") + 1).alias("page_no"))
-        at = materialize(step.join(linked, ["category", "url"]).join(done.select("category", "url"), ["category", "url"], "left_anti"), "pages")
-        if at.isEmpty():
-            break
-        done = done.unionByName(at)
-    return done.select("category", "page_no", "url")
+    of each category. The links are doubled in every round, so that as many rounds run as the longest listing's length has binary digits; a
+    page that was met before ends its listing."""
+    linked = pages.select("category", "url", "next_url").dropDuplicates(["category", "url"])
+    here = linked.select("category", F.col("url").alias("next_url"))
+    jump = linked.join(here, ["category", "next_url"]).select("category", "url", F.col("next_url").alias("to"))
+    first = starts.select("category", "url").distinct().join(linked.select("category", "url"), ["category", "url"])
+    return _followed(first, jump, ["category", "url"]).select("category", "page_no", "url")
+
+
+def _followed(first: DataFrame, jump: DataFrame, keys: list[str]) -> DataFrame:
+    """(category, page_no, url) from the first pages (category, url) along the links (``keys``, to)."""
+    jump = materialize(jump, "jumps")
+    done = materialize(first.select("category", "url", F.lit(1).alias("page_no")), "pages")
+    on_to = [k if k != "url" else "to" for k in keys]
+    step = 1
+    while True:
+        ahead = done.join(jump, keys).select("category", F.col("to").alias("url"), (F.col("page_no") + step).alias("page_no"))
+        new = materialize(ahead.groupBy("category", "url").agg(F.min("page_no").alias("page_no")).join(done.select("category", "url"), ["category", "url"], "left_anti"), "pages")
+        if new.isEmpty():
+            return done
+        done = materialize(done.unionByName(new), "pages")
+        second = jump.select(*[F.col(k).alias(t) for k, t in zip(keys, on_to)], F.col("to").alias("_to"))
+        jump = materialize(jump.join(second, on_to).select(*keys, F.col("_to").alias("to")), "jumps")
+        step *= 2
+
+
+def archived_pages(pages: DataFrame, starts: DataFrame) -> DataFrame:
+    """S2-S5 over a table of saved pages (url, html): (category, page_no, url, html) of the listings of ``starts`` (category, url). Every page is
+    parsed once; a page that says that it does not exist ends its listing."""
+
+    def links(urls: pd.Series, htmls: pd.Series) -> pd.Series:
+        return pd.Series([next_page(h, u) if h is not None else None for u, h in zip(urls, htmls)], dtype=object)
+
+    there = pages.filter(F.col("html").isNotNull() & ~F.contains("html", F.lit(NOT_FOUND)))
+    linked = materialize(there.select("url", F.pandas_udf(links, "string")("url", "html").alias("next_url")), "links")  # type: ignore[call-overload]
+    jump = linked.join(linked.select(F.col("url").alias("next_url")), "next_url").select("url", F.col("next_url").alias("to"))
+    first = starts.select("category", "url").distinct().join(linked.select("url"), "url")
+    return _followed(first, jump, ["url"]).join(there.dropDuplicates(["url"]), "url").select("category", "page_no", "url", "html")
 
 
 def with_details(postings: DataFrame, details: DataFrame, url: Column | str = "joburl", base: str | None = None) -> DataFrame:
