@@ -9,7 +9,7 @@ sentence, so that the mere length of a document is no evidence.
 
 Training documents are made from the labelled patterns of :mod:`abuse_examples`; a bounded sample of
 ``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS`` characters of the corpus joins as further negatives, less those in which the model of the
-rounds before sees abuse. The model is a table of some ten thousand weights, made by the driver and broadcast; scoring is
+rounds before sees abuse. Words that the sample is full of count little by themselves. The model is a table of some ten thousand weights, made by the driver and broadcast; scoring is
 row-local and covers every sentence of every document.
 
 Normalisation undoes disguise: invisible characters, look-alike letters, digits for letters, stretched and spaced
@@ -26,7 +26,7 @@ import random
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence, Set
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,12 @@ THRESHOLD, LOCATED = 0.35, 0.25
 #: The bias of the sentence model: what a sentence without any known word scores.
 BIAS = -6.0
 DROP = 0.4
+#: Share of the drawn documents, and number of them at least, from which on a word is an ordinary one.
+ORDINARY_SHARE, ORDINARY_DOCS = 0.01, 5
+#: The most by which an ordinary word raises the log-odds of a sentence.
+ORDINARY_MOST = 0.5
+#: Noisy-or from which on a drawn document is no negative if the patterns alone see abuse in it.
+SUSPECT = 0.2
 SEED = 7
 
 # Look-alike letters and digits that stand for letters.
@@ -161,9 +167,10 @@ def labelled(rng: random.Random, copies: int = 24, keep: Callable[[str], bool] =
 Bag = tuple[list[list[Feature]], int]
 
 
-def train(bags: list[Bag], epochs: int = 240, rate: float = 0.5, decay: float = 5e-6, drop: float = DROP) -> dict[Feature, float]:
+def train(bags: list[Bag], epochs: int = 240, rate: float = 0.5, decay: float = 5e-6, drop: float = DROP, ordinary: Set[str] = frozenset()) -> dict[Feature, float]:
     """Weights of the sentence model from bags of lists of features, by Adagrad on the noisy-or likelihood. In every step a share
-    ``drop`` of the features is left out, so that no wording is learnt as a whole and parts of it tell as well."""
+    ``drop`` of the features is left out, so that no wording is learnt as a whole and parts of it tell as well. ``ordinary`` words
+    are little evidence of abuse by themselves (``ORDINARY_MOST``); pairs and triples with them are free."""
     rng = np.random.default_rng(SEED)
     seen = Counter(f for bag, _ in bags for s in bag for f in s)
     index = {f: k for k, f in enumerate(sorted(seen, key=str))}
@@ -180,6 +187,7 @@ def train(bags: list[Bag], epochs: int = 240, rate: float = 0.5, decay: float =
     sent_of = np.repeat(np.arange(len(sent_len)), sent_len)
     bag_of = np.repeat(np.arange(len(bag_len)), bag_len)
     w, gw = np.zeros(len(index)), np.full(len(index), 1e-6)
+    most = np.where([f in ordinary for f in index], ORDINARY_MOST / SCALE, np.inf)
     weight = np.where(y == 1, 1.0, min(4.0, y.sum() / max(1.0, (1 - y).sum())) + 0.5)
     for _ in range(epochs):
         used = SCALE * (rng.random(len(feat), np.float32) >= drop)
@@ -191,7 +199,7 @@ def train(bags: list[Bag], epochs: int = 240, rate: float = 0.5, decay: float =
         g = np.where(y == 1, -(1 - bag_p) / bag_p, 1.0)[bag_of] * p * weight[bag_of]
         grad = np.bincount(feat, g[sent_of] * used, minlength=len(index)) + decay * len(bags) * w
         gw += grad * grad
-        w -= rate * grad / np.sqrt(gw)
+        w = np.minimum(w - rate * grad / np.sqrt(gw), most)
     return {f: float(w[k]) for f, k in index.items() if abs(w[k]) > 1e-3}
 
 
@@ -237,10 +245,16 @@ def fit(sample: list[str], keep: Callable[[str], bool] = lambda sentence: True)
     bags: list[Bag] = [([features(s) for s in bag], label) for bag, label in labelled(rng, keep=keep)]
     drawn = [x for x in map(sentences, sample) if x]
     drawn_features = [[features(x) for x in bag] for bag in drawn]
-    # the sample is clean but for few documents: those in which abuse is seen although they were called clean are left out at last
-    model = Scorer(train(bags + [(f, 0) for f in drawn_features], epochs=150))
-    more: list[Bag] = [(f, 0) for bag, f in zip(drawn, drawn_features) if model.noisy_or(bag)[0] < THRESHOLD]
-    return Scorer(train(bags + more, epochs=400))
+    # what the patterns use more in abuse than in the few plain sentences written for them is, of a word that the corpus is full of, mere chance
+    docs = Counter(w for bag in drawn_features for w in {x for f in bag for x in f if isinstance(x, str)})
+    ordinary = {w for w, n in docs.items() if n >= max(ORDINARY_DOCS, ORDINARY_SHARE * len(drawn))}
+    # the sample is clean but for few documents: those in which abuse is seen although they were called clean are left out at last,
+    # and so are those in which some of it is still seen and the patterns alone see it, lest their wording be learnt as clean
+    patterns = Scorer(train(bags, epochs=80, ordinary=ordinary))
+    model = Scorer(train(bags + [(f, 0) for f in drawn_features], epochs=150, ordinary=ordinary))
+    seen = [(model.noisy_or(bag)[0], patterns.noisy_or(bag)[0]) for bag in drawn]
+    more: list[Bag] = [(f, 0) for f, (p, q) in zip(drawn_features, seen) if p < SUSPECT or max(p, q) < THRESHOLD]
+    return Scorer(train(bags + more, epochs=400, ordinary=ordinary))
 
 
 def sampled(documents: DataFrame) -> list[str]:

@@ -57,6 +57,15 @@ def test_training_is_on_documents():
     assert weights["bad"] == max(weights.values())
 
 
+def test_ordinary_words_are_little_evidence():
+    """Words that the corpus is full of do not add up to abuse, though the patterns happen to use them more in abuse."""
+    calm = ["Vi skriver på tavlen, hvis du ringer her.", "Jeg er på lageret, og du spiser din mad.", "Der er en gave til dig som kunde, og du er her."]
+    model = A.fit([f"{s} Nummer {k}." for k in range(40) for s in calm])
+    words = {w for s in calm for w in A.tokens(s)} - {"0"}
+    assert max(model.weights.get(w, 0.0) for w in words) * A.SCALE <= A.ORDINARY_MOST + 1e-9
+    assert [s for s in BAD if model.document(s)[0] < A.THRESHOLD] == []
+
+
 def test_tables(spark):
     rows = [(1, BAD[0], "a"), (2, GOOD[0], "a"), (3, None, None), (4, "", "b"), (5, GOOD[0] * 3000 + "\n" + BAD[1], "b"), (1, BAD[0], "a")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "1 AS score", "2 AS top")
